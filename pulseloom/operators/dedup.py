@@ -59,12 +59,13 @@ def first_by(df: DataFrame, keys: Sequence[str], *order: str | Column) -> DataFr
 
 
 def tumbling(df: DataFrame, keys: Sequence[str] | None = None, time: str = "timestamp",
-             order: str = "msg_id", seconds: int = SECONDS, enabled: bool = True) -> DataFrame:
-    """First row per key and window. One exchange."""
+             order: Sequence[str | Column] = ("msg_id",), seconds: int = SECONDS,
+             enabled: bool = True) -> DataFrame:
+    """First row per key and window, ties by ``order``. One exchange."""
     if not enabled:
         return df
     keys = list(keys or key_columns(df))
-    return first_by(with_window(df, time, seconds), [*keys, "window_start"], time, order).drop(
+    return first_by(with_window(df, time, seconds), [*keys, "window_start"], time, *order).drop(
         "window_start")
 
 
@@ -136,8 +137,8 @@ def _carries(edges: DataFrame, millis: int) -> DataFrame:
 
 
 def throttle(df: DataFrame, keys: Sequence[str] | None = None, time: str = "timestamp",
-             order: str = "msg_id", seconds: int = SECONDS, enabled: bool = True,
-             cells: int = CELLS_PER_BUCKET) -> DataFrame:
+             order: Sequence[str | Column] = ("msg_id",), seconds: int = SECONDS,
+             enabled: bool = True, cells: int = CELLS_PER_BUCKET) -> DataFrame:
     """Rows at least ``seconds`` after the last row that passed for their key.
 
     Each pass depends on the one before, yet a key may hold a large share of all rows,
@@ -157,7 +158,7 @@ def throttle(df: DataFrame, keys: Sequence[str] | None = None, time: str = "time
     rest = [c for c in df.columns if c not in keys]
     millis, span = seconds * 1000, seconds * 1000 * cells
     ticks = df.select(F.struct(*keys).alias("_key"), F.unix_millis(time).alias("tick"), *rest)
-    distinct = first_by(ticks, ["_key", "tick"], time, order)
+    distinct = first_by(ticks, ["_key", "tick"], time, *order)
     bucket = F.floor(F.col("tick") / span)
     grouped = distinct.groupBy("_key", bucket.alias("_bucket")).agg(
         F.array_sort(F.collect_list(F.struct("tick", *rest))).alias("rows"))
@@ -174,6 +175,27 @@ def throttle(df: DataFrame, keys: Sequence[str] | None = None, time: str = "time
         *[F.col("_key")[c].alias(c) if c in keys else F.col("r")[c].alias(c) for c in df.columns])
 
 
+def recent(passed: DataFrame, now: Column, keys: Sequence[str], time: str = "timestamp",
+           seconds: int = SECONDS) -> DataFrame:
+    """Key and time of passed rows young enough to suppress a later one."""
+    young = F.unix_millis(now) - F.unix_millis(time) < seconds * 1000
+    return passed.filter(young).select(*keys, time)
+
+
+def continued(df: DataFrame, seen: DataFrame | None, method: str = "throttle",
+              time: str = "timestamp", seconds: int = SECONDS) -> DataFrame:
+    """Deduplicate a batch that follows earlier ones.
+
+    ``seen`` holds the ``recent`` rows of what has passed before; they take part as
+    marks and are taken out again.
+    """
+    rows = df.withColumn("_seen", F.lit(False))
+    if seen is not None:
+        rows = rows.unionByName(seen.withColumn("_seen", F.lit(True)), allowMissingColumns=True)
+    passed = METHODS[method](rows, key_columns(df), time, (F.desc("_seen"), "msg_id"), seconds)
+    return passed.filter(~F.col("_seen")).drop("_seen")
+
+
 METHODS = {"tumbling": tumbling, "throttle": throttle}
 
 

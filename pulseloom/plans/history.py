@@ -119,8 +119,8 @@ def recent_rows(table: DataFrame, as_of, mins: int = 10, time: str = "processed_
     return rows.orderBy(F.desc(time), F.desc("msg_id"))
 
 
-def device_minute_count(table: DataFrame, device_id: str, as_of) -> DataFrame:
-    return since(table, as_of, inclusive=True, mins=1).filter(
+def device_minute_count(table: DataFrame, device_id: str, as_of, mins: int = 1) -> DataFrame:
+    return since(table, as_of, inclusive=True, mins=mins).filter(
         F.col("device_id") == device_id).agg(F.count("*").alias("count"))
 
 

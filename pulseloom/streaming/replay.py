@@ -1,0 +1,40 @@
+"""Running the streaming jobs over stored events, until all of them are read."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pulseloom.operators import parse, sinks
+from pulseloom.session import shared_dir
+from pulseloom.sources import derived
+from pulseloom.streaming import dedup, pipeline
+
+
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/replay-{uuid.uuid4().hex}"
+
+
+def deduplicated(spark: SparkSession, folder: str, method: str) -> DataFrame:
+    """Valid records of the derived stream after streaming deduplication."""
+    out = _run_folder(spark)
+    parsed = parse.typed(derived.raw_stream(spark, folder))
+    valid = parsed.filter(F.col("route") != parse.INVALID).drop("payload", "reasons", "route")
+    unique = dedup.METHODS[method](valid, watermark="0 seconds")
+    unique.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").option(
+        "path", f"{out}/rows").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(valid.schema).parquet(f"{out}/rows")
+
+
+def pipeline_counts(spark: SparkSession, folder: str, profile: str = "typed") -> DataFrame:
+    """Rows per table after the whole pipeline has run over the derived stream."""
+    out = _run_folder(spark)
+    pipeline.run(derived.raw_stream(spark, folder), f"{out}/tables", f"{out}/checkpoint", profile,
+                 trigger={"availableNow": True}).awaitTermination()
+    names = [kind.table for kind in sinks.TABLE_COLUMNS[profile]] + [sinks.DEAD_LETTERS]
+    counts = None
+    for name in names:
+        rows = spark.read.parquet(f"{out}/tables/{name}").select(F.lit(name).alias("table_name"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts.groupBy("table_name").agg(F.count("*").alias("row_count"))
