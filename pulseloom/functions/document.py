@@ -1,7 +1,7 @@
 """Reading keys of a JSON message.
 
 ``Keys`` names the top-level keys a caller needs; ``Keys.read`` parses each payload
-once and keeps just those, each as a VARIANT node. Presence, JSON null and value are
+once and adds just those, each as a VARIANT column, called a node here. Presence, JSON null and value are
 three different things: a node is SQL NULL only when its key is absent, and a JSON
 null stays a variant null. ``coalesce`` over nodes is therefore "first key present".
 
@@ -22,21 +22,21 @@ _OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
 
 
 class Keys:
-    """Top-level keys read from a payload into the ``doc`` column."""
+    """Top-level keys read from a payload, one column per key."""
 
     def __init__(self, *keys: str):
-        # own field names: device keys hold spaces and may differ only in case
-        self._names = {key: f"k{i}" for i, key in enumerate(dict.fromkeys(keys))}
+        # own column names: device keys hold spaces and may differ only in case
+        self._names = {key: f"_k{i}" for i, key in enumerate(dict.fromkeys(keys))}
 
     def _struct(self, by_key: bool) -> str:
         names = [f"`{k}`" for k in self._names] if by_key else self._names.values()
         return ", ".join(f"{name}{' ' if by_key else ':'}variant" for name in names)
 
     def read(self, raw: DataFrame, whole_text: bool = False) -> DataFrame:
-        """Add ``doc``; NULL for text that is not one JSON object.
+        """Add the nodes and ``_is_json``, whether the text is one JSON object.
 
         ``whole_text`` also refuses anything after the object. The text is then read
-        as the only element of an array.
+        as the only element of an array; only ``_is_json`` tells that it was refused.
 
         Exploding a one-element array is a fence: Catalyst would otherwise copy the
         parse into every filter pushed below the projection and run it many times.
@@ -50,18 +50,24 @@ class Keys:
             text = F.concat(F.lit("["), F.col("payload"), F.lit("]"))
             doc = F.from_json(text, f"array<struct<{self._struct(True)}>>", _OPTIONS)
             doc = doc.cast(f"array<struct<{self._struct(False)}>>")
-            found = (F.size("_doc") == 1) & F.rtrim("payload").endswith("}")
             value = F.get("_doc", F.lit(0))
+            found = (F.size("_doc") == 1) & value.isNotNull() & F.rtrim("payload").endswith("}")
         fenced = raw.select("*", F.explode(F.array(doc)).alias("_doc"))
-        return fenced.select(*raw.columns, F.when(found, value).alias("doc"))
+        return fenced.select(
+            *raw.columns, F.coalesce(found, F.lit(False)).alias("_is_json"),
+            *[value.getField(name).alias(name) for name in self._names.values()])
 
     def __getitem__(self, key: str) -> Column:
-        return F.col("doc").getField(self._names[key])
+        return F.col(self._names[key])
 
     def first_present(self, *keys: str) -> Column:
         """The first key that exists, even when its value is JSON null."""
         return F.coalesce(*[self[k] for k in keys])
 
+    def drop(self, df: DataFrame) -> DataFrame:
+        """The frame without what ``read`` added."""
+        return df.drop("_is_json", *self._names.values())
+
 
 def child(parent: Column, *keys: str) -> Column:
     """The first of these keys that a node has."""

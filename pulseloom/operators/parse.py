@@ -80,15 +80,15 @@ ALL_SPO2_KEYS = ("spO2", "SpO2", "Spo2")
 
 def classified(raw: DataFrame, profile: str = "typed") -> DataFrame:
     """Add ``is_json``, ``content``, ``message_type`` and ``shape`` to raw messages."""
-    keys = Keys("content", "data")
-    content = d.scalar_text(keys["content"])
+    keys, is_json = Keys("content", "data"), F.col("_is_json")
+    content = F.when(is_json, d.scalar_text(keys["content"]))
     parsed = keys.read(raw, whole_text=classify.check_profile(profile) == "lenient")
-    return d.fence(parsed, {
-        "is_json": F.col("doc").isNotNull(),
+    return keys.drop(d.fence(parsed, {
+        "is_json": is_json,
         "content": content,
         "message_type": classify.message_type(content, profile),
-        "shape": F.when(F.col("doc").isNotNull(), classify.shape(keys["data"])),
-    }).drop("doc")
+        "shape": F.when(is_json, classify.shape(keys["data"])),
+    }))
 
 
 # --- typed profile -----------------------------------------------------------
@@ -145,11 +145,11 @@ def typed(raw: DataFrame, mac_length: bool = False, unified_spo2: bool = False)
     content = d.scalar_text(keys["content"])
     messages = d.fence(keys.read(raw), {
         "content": content, "message_type": classify.message_type(content)})
-    return _typed_routes(d.fence(messages, values), bad, mac_length).drop("doc")
+    return keys.drop(_typed_routes(d.fence(messages, values), bad, mac_length))
 
 
 def _typed_routes(records: DataFrame, bad: dict[str, validate.Rules], mac_length: bool) -> DataFrame:
-    kind, is_json = F.col("message_type"), F.col("doc").isNotNull()
+    kind, is_json = F.col("message_type"), F.col("_is_json")
     is_vital, is_diaper = kind == VITAL.name, kind == DIAPER.name
     unknown = {
         "malformed_json": ~is_json,
@@ -239,8 +239,8 @@ def lenient(raw: DataFrame, unified_spo2: bool = False) -> DataFrame:
     level = F.when(~text_humidity, F.coalesce(d.as_type(humidity, "double"), F.lit(0.0)))
     button = either(inner("button_status"), keys.first_present("button", "button_status"))
     unusable = {
-        "malformed_json": F.col("doc").isNull(),
-        "missing_content": F.col("doc").isNotNull() & content.isNull(),
+        "malformed_json": ~F.col("_is_json"),
+        "missing_content": F.col("_is_json") & content.isNull(),
         "unknown_content": content.isNotNull() & kind.isNull(),
         "bad_data": nested & ~d.is_object(data),
         "bad_timestamp": ~nested & stamp.isNotNull() & ~d.is_text(stamp),
@@ -277,10 +277,10 @@ def lenient(raw: DataFrame, unified_spo2: bool = False) -> DataFrame:
         values[column] = F.when(vital, values[column])
     for column in only_diaper:
         values[column] = F.when(diaper, values[column])
-    text = d.scalar_text(keys["content"])
+    text = F.when(F.col("_is_json"), d.scalar_text(keys["content"]))
     messages = d.fence(keys.read(raw, whole_text=True), {
         "content": text, "message_type": classify.message_type(text, "lenient")})
-    records = d.fence(messages, values).drop("doc")
+    records = keys.drop(d.fence(messages, values))
     invalid = F.size("reasons") > 0
     route = F.when(invalid, INVALID).when(F.col("no_device"), DROPPED).otherwise(
         classify.table_of(F.col("message_type")))
