@@ -43,19 +43,18 @@ class Keys:
         """
         if not whole_text:
             doc = F.from_json("payload", self._struct(True) + ", _bad string", _OPTIONS)
-            doc = doc.cast(f"struct<{self._struct(False)}, bad:string>")
-            found = F.col("_doc").isNotNull() & F.col("_doc.bad").isNull()
-            value = F.col("_doc")
+            fenced = raw.select("*", F.explode(F.array(
+                doc.cast(f"struct<{self._struct(False)}, _bad:string>"))).alias("_doc"))
+            found = F.expr("_doc IS NOT NULL AND _doc._bad IS NULL")
         else:
             text = F.concat(F.lit("["), F.col("payload"), F.lit("]"))
-            doc = F.from_json(text, f"array<struct<{self._struct(True)}>>", _OPTIONS)
-            doc = doc.cast(f"array<struct<{self._struct(False)}>>")
-            value = F.get("_doc", F.lit(0))
-            found = (F.size("_doc") == 1) & value.isNotNull() & F.rtrim("payload").endswith("}")
-        fenced = raw.select("*", F.explode(F.array(doc)).alias("_doc"))
-        return fenced.select(
-            *raw.columns, F.coalesce(found, F.lit(False)).alias("_is_json"),
-            *[value.getField(name).alias(name) for name in self._names.values()])
+            docs = F.from_json(text, f"array<struct<{self._struct(True)}>>", _OPTIONS)
+            fenced = raw.select("*", F.explode(F.array(
+                docs.cast(f"array<struct<{self._struct(False)}>>"))).alias("_docs"))
+            fenced = fenced.withColumn("_doc", F.get("_docs", F.lit(0)))
+            found = F.expr(
+                "coalesce(size(_docs) = 1 AND _doc IS NOT NULL AND endswith(rtrim(payload), '}'), false)")
+        return fenced.select("*", found.alias("_is_json"), "_doc.*").drop("_docs", "_doc", "_bad")
 
     def __getitem__(self, key: str) -> Column:
         return F.col(self._names[key])
@@ -77,9 +76,8 @@ def child(parent: Column, *keys: str) -> Column:
 def fence(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns behind the same fence, so later filters reuse their values."""
     packed = F.struct(*[value.alias(name) for name, value in columns.items()])
-    rows = df.withColumn("_packed", packed)
-    return rows.select(*df.columns, F.explode(F.array("_packed")).alias("_row")).select(
-        *df.columns, "_row.*")
+    rows = df.withColumn("_packed", packed).withColumn("_row", F.explode(F.array("_packed")))
+    return rows.select("*", "_row.*").drop("_packed", "_row")
 
 
 def kind(node: Column) -> Column:

@@ -7,6 +7,8 @@ parsed a second time.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseloom.functions import classify, derive, document as d, times
@@ -116,12 +118,12 @@ def _bad_type(column: str, node: Column, data_type: str) -> Column:
     return (lost & not_blank) | F.coalesce(flag, F.lit(False))
 
 
-def typed(raw: DataFrame, mac_length: bool = False, unified_spo2: bool = False) -> DataFrame:
-    """Typed profile: parse, convert and validate every message.
+# Columns are not tied to a frame. Building these takes thousands of calls into the JVM,
+# so each variant is built once per process.
 
-    Adds ``route`` (a history table or ``invalid``), ``reasons`` and the columns of
-    both typed tables. "Now" is the arrival time, so a rerun gives the same rows.
-    """
+@cache
+def _typed_values(unified_spo2: bool) -> tuple[dict[str, Column], dict[str, validate.Rules]]:
+    """Columns of both tables, and per message type what makes a value unreadable."""
     keys, kind = _TYPED_KEYS, F.col("message_type")
     stamp = keys["timestamp"]
     values: dict[str, Column] = {
@@ -140,15 +142,16 @@ def typed(raw: DataFrame, mac_length: bool = False, unified_spo2: bool = False)
             if column == "sp_o2" and unified_spo2:
                 node = keys.first_present(*ALL_SPO2_KEYS)
             values[column] = F.when(kind.isin(*kinds), _value(node, data_type))
+            unreadable = _bad_type(column, node, data_type)
             for name in kinds:
-                bad[name][f"bad_{column}"] = _bad_type(column, node, data_type)
-    content = d.scalar_text(keys["content"])
-    messages = d.fence(keys.read(raw), {
-        "content": content, "message_type": classify.message_type(content)})
-    return keys.drop(_typed_routes(d.fence(messages, values), bad, mac_length))
+                bad[name][f"bad_{column}"] = unreadable
+    return values, bad
 
 
-def _typed_routes(records: DataFrame, bad: dict[str, validate.Rules], mac_length: bool) -> DataFrame:
+@cache
+def _typed_outcome(mac_length: bool, unified_spo2: bool) -> tuple[Column, dict[str, Column]]:
+    """Why a message is invalid (null when it is not), and the columns that follow from it."""
+    _, bad = _typed_values(unified_spo2)
     kind, is_json = F.col("message_type"), F.col("_is_json")
     is_vital, is_diaper = kind == VITAL.name, kind == DIAPER.name
     unknown = {
@@ -162,7 +165,7 @@ def _typed_routes(records: DataFrame, bad: dict[str, validate.Rules], mac_length
     def rules(base: validate.Rules) -> validate.Rules:
         # an absent id is reported once, as missing
         present = {name: rule & F.col(name.removeprefix("blank_")).isNotNull()
-                   for name, rule in base.items() if name in validate.id_rules()}
+                   for name, rule in base.items() if name.startswith("blank_")}
         return {**missing, **base, **present}
 
     checks = {VITAL.name: rules(validate.vitals_rules(mac_length)),
@@ -173,23 +176,35 @@ def _typed_routes(records: DataFrame, bad: dict[str, validate.Rules], mac_length
             is_diaper, what(rule_sets[DIAPER.name]))
 
     # a value of the wrong type stops the reading of a record, so its ranges are not judged
-    judged = d.fence(records, {"verdict": F.when(kind.isNull(), "unknown")
-                               .when(by_kind(bad, validate.any_failed), "type")
-                               .when(by_kind(checks, validate.any_failed), "rule")})
-    verdict = F.col("verdict")
-    reasons = (
-        F.when(verdict == "unknown", validate.failed_names(unknown))
-        .when(verdict == "type", by_kind(bad, validate.failed_names))
-        .when(verdict == "rule", by_kind(checks, validate.failed_names))
-        .otherwise(F.array().cast("array<string>"))
-    )
-    return judged.withColumns({
-        "route": F.when(verdict.isNotNull(), INVALID).otherwise(classify.table_of(kind)),
-        "reasons": reasons,
+    verdict = (F.when(kind.isNull(), "unknown")
+               .when(by_kind(bad, validate.any_failed), "type")
+               .when(by_kind(checks, validate.any_failed), "rule"))
+    found = F.col("_verdict")
+    return verdict, {
+        "route": F.when(found.isNotNull(), INVALID).otherwise(classify.table_of(kind)),
+        "reasons": F.when(found == "unknown", validate.failed_names(unknown))
+        .when(found == "type", by_kind(bad, validate.failed_names))
+        .when(found == "rule", by_kind(checks, validate.failed_names))
+        .otherwise(F.array().cast("array<string>")),
         "device_id": F.col("mac"),
         "button_status": F.when(is_diaper, derive.button_label(F.col("button"))),
         "diaper_status": F.when(is_diaper, derive.diaper_label(F.col("humidity"))),
-    }).drop("verdict")
+    }
+
+
+def typed(raw: DataFrame, mac_length: bool = False, unified_spo2: bool = False) -> DataFrame:
+    """Typed profile: parse, convert and validate every message.
+
+    Adds ``route`` (a history table or ``invalid``), ``reasons`` and the columns of
+    both typed tables. "Now" is the arrival time, so a rerun gives the same rows.
+    """
+    content = d.scalar_text(_TYPED_KEYS["content"])
+    messages = d.fence(_TYPED_KEYS.read(raw), {
+        "content": content, "message_type": classify.message_type(content)})
+    values, _ = _typed_values(unified_spo2)
+    verdict, outcome = _typed_outcome(mac_length, unified_spo2)
+    judged = d.fence(d.fence(messages, values), {"_verdict": verdict})
+    return _TYPED_KEYS.drop(judged.withColumns(outcome)).drop("_verdict")
 
 
 # --- lenient profile ---------------------------------------------------------
@@ -206,12 +221,8 @@ def _not_a_number(value: Column) -> Column:
     return F.coalesce(d.kind(value).rlike("^(STRING|VOID|OBJECT|ARRAY)"), F.lit(False))
 
 
-def lenient(raw: DataFrame, unified_spo2: bool = False) -> DataFrame:
-    """Lenient profile: spaced, underscored and nested payloads, no range checks.
-
-    Routes: a history table, ``invalid``, or ``dropped`` for a flat record without a
-    usable device id, which the history tables and the dead letters both leave out.
-    """
+@cache
+def _lenient_values(unified_spo2: bool) -> dict[str, Column]:
     keys, data = _LENIENT_KEYS, _LENIENT_KEYS["data"]
     content, kind = F.col("content"), F.col("message_type")
     nested = data.isNotNull()
@@ -277,12 +288,21 @@ def lenient(raw: DataFrame, unified_spo2: bool = False) -> DataFrame:
         values[column] = F.when(vital, values[column])
     for column in only_diaper:
         values[column] = F.when(diaper, values[column])
+    return values
+
+
+def lenient(raw: DataFrame, unified_spo2: bool = False) -> DataFrame:
+    """Lenient profile: spaced, underscored and nested payloads, no range checks.
+
+    Routes: a history table, ``invalid``, or ``dropped`` for a flat record without a
+    usable device id, which the history tables and the dead letters both leave out.
+    """
+    keys = _LENIENT_KEYS
     text = F.when(F.col("_is_json"), d.scalar_text(keys["content"]))
     messages = d.fence(keys.read(raw, whole_text=True), {
         "content": text, "message_type": classify.message_type(text, "lenient")})
-    records = keys.drop(d.fence(messages, values))
-    invalid = F.size("reasons") > 0
-    route = F.when(invalid, INVALID).when(F.col("no_device"), DROPPED).otherwise(
+    records = keys.drop(d.fence(messages, _lenient_values(unified_spo2)))
+    route = F.when(F.size("reasons") > 0, INVALID).when(F.col("no_device"), DROPPED).otherwise(
         classify.table_of(F.col("message_type")))
     return records.withColumns({"route": route, "processed_at": F.col("received_ts")}).drop("no_device")
 

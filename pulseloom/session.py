@@ -52,6 +52,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # recording the Python line of every column doubles the time to build a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.local.dir", os.environ.get("SPARK_LOCAL_DIRS", tempfile.gettempdir()))
     )
     for name, value in {**REQUIRED, **extra}.items():
