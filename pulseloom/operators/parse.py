@@ -199,11 +199,11 @@ def typed(raw: DataFrame, mac_length: bool = False, unified_spo2: bool = False)
     both typed tables. "Now" is the arrival time, so a rerun gives the same rows.
     """
     content = d.scalar_text(_TYPED_KEYS["content"])
-    messages = d.fence(_TYPED_KEYS.read(raw), {
-        "content": content, "message_type": classify.message_type(content)})
+    messages = _TYPED_KEYS.read(raw).withColumn("content", content).withColumn(
+        "message_type", classify.message_type(F.col("content")))
     values, _ = _typed_values(unified_spo2)
     verdict, outcome = _typed_outcome(mac_length, unified_spo2)
-    judged = d.fence(d.fence(messages, values), {"_verdict": verdict})
+    judged = d.fence(messages.withColumns(values), {"_verdict": verdict})
     return _TYPED_KEYS.drop(judged.withColumns(outcome)).drop("_verdict")
 
 
@@ -299,8 +299,8 @@ def lenient(raw: DataFrame, unified_spo2: bool = False) -> DataFrame:
     """
     keys = _LENIENT_KEYS
     text = F.when(F.col("_is_json"), d.scalar_text(keys["content"]))
-    messages = d.fence(keys.read(raw, whole_text=True), {
-        "content": text, "message_type": classify.message_type(text, "lenient")})
+    messages = keys.read(raw, whole_text=True).withColumn("content", text).withColumn(
+        "message_type", classify.message_type(F.col("content"), "lenient"))
     records = keys.drop(d.fence(messages, _lenient_values(unified_spo2)))
     route = F.when(F.size("reasons") > 0, INVALID).when(F.col("no_device"), DROPPED).otherwise(
         classify.table_of(F.col("message_type")))

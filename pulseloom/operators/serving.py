@@ -86,15 +86,15 @@ def series(records: DataFrame, cap: int = CAP, ttl: int | None = None, as_of=Non
     return points.drop("_silent", "_erased", "_last")
 
 
-def spans(writes: DataFrame, by: str, ttl: int = TTL, time: str = "timestamp") -> DataFrame:
-    """Writes per key as ``(lo, hi)`` spans, one per ``ttl``-wide cell.
+def spans(writes: DataFrame, *by: str, ttl: int = TTL, time: str = "timestamp") -> DataFrame:
+    """Writes per key as ``(lo, hi)`` spans, one per ``ttl``-wide ``cell``.
 
     Two writes of a cell are never a silence apart, so spans lose nothing. They are
     partially aggregated: a key sends one row per cell and map task, not one per write.
     """
     cell = F.floor(_millis(time) / (ttl * 1000))
-    return writes.filter(F.col(time).isNotNull()).groupBy(by, cell.alias("_cell")).agg(
-        F.min(time).alias("lo"), F.max(time).alias("hi")).drop("_cell")
+    return writes.filter(F.col(time).isNotNull()).groupBy(*by, cell.alias("cell")).agg(
+        F.min(time).alias("lo"), F.max(time).alias("hi"))
 
 
 def last_island(pieces: DataFrame, by: str, ttl: int = TTL) -> DataFrame:
@@ -111,10 +111,13 @@ def gateway_index(records: DataFrame, as_of=None, ttl: int = TTL, time: str = "t
 
     A device stays while any sibling keeps the gateway's set alive.
     """
-    islands = last_island(spans(records, "gateway_id", ttl, time), "gateway_id", ttl)
+    # both sides start from one aggregation, whose exchange is shared
+    pieces = spans(records, "gateway_id", "device_id", ttl=ttl, time=time)
+    merged = pieces.groupBy("gateway_id", "cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    islands = last_island(merged, "gateway_id", ttl)
     if as_of is not None:
         islands = islands.filter(alive("last_write", as_of, ttl))
-    members = records.groupBy("gateway_id", "device_id").agg(F.max(time).alias("last_seen"))
+    members = pieces.groupBy("gateway_id", "device_id").agg(F.max("hi").alias("last_seen"))
     return members.join(islands, "gateway_id").filter(
         F.col("last_seen") >= F.col("island_start")).select(
         "gateway_id", "device_id", "last_seen", "island_start", "last_write")

@@ -140,7 +140,7 @@ def write_serving(records: DataFrame, root: str, batch_id: int = 0, ttl: int = s
 
 def _gateways(old: DataFrame | None, points: DataFrame, ttl: int, now, time: str) -> DataFrame:
     """Gateway sets of an earlier snapshot and new writes; the old island is one span."""
-    pieces = serving.spans(points, "gateway_id", ttl, time)
+    pieces = serving.spans(points, "gateway_id", ttl=ttl, time=time).drop("cell")
     seen = points.select("gateway_id", "device_id", F.col(time).alias("last_seen"))
     if old is not None:
         pieces = pieces.unionByName(old.select(
