@@ -328,6 +328,13 @@ def dedup_throttle_payload(spark, folder):
     return dedup.throttle(raw, ["payload"], time="received_ts").select("msg_id", "received_ts")
 
 
+@query
+def dedup_flattened(spark, folder):
+    vitals = _vitals(spark, folder).withColumn("serial_no", F.col("battery_level"))
+    flat = parse.flattened(vitals, "received_ts", "msg_id")
+    return dedup.tumbling(flat, dedup.LEGACY_KEY).select("msg_id", "device_id", "gateway_id", "timestamp")
+
+
 @query
 def stream_tumbling(spark, folder):
     return _short(replay.deduplicated(spark, folder, "tumbling"))
@@ -358,10 +365,16 @@ def _series(spark, folder) -> DataFrame:
 
 @query
 def latest_per_device(spark, folder):
-    return _latest(spark, folder).select(
+    newest = _latest(spark, folder)
+    return newest.select(
         "msg_id", "message_type", "device_id", "timestamp",
         serving.key_column().alias("hot_key"),
-        serving.as_json(_latest(spark, folder), "device_id", "heart_rate", "humidity", "battery_level").alias("value"))
+        serving.as_json(newest, "device_id", "heart_rate", "humidity", "battery_level").alias("value"))
+
+
+@query
+def hot_entries(spark, folder):
+    return serving.entries(_valid(spark, folder)).drop("value")
 
 
 @query

@@ -315,6 +315,11 @@ def all_sql() -> dict[str, str]:
         "dedup_throttle": throttled + f"SELECT {_SHORT} FROM throttled",
         "dedup_throttle_payload": f"WITH RECURSIVE {RAW}{_throttled('raw', 'payload', 'received_ts')} "
                                   "SELECT msg_id, received_ts FROM throttled",
+        "dedup_flattened": typed + """SELECT msg_id, CAST(battery_level AS VARCHAR) AS device_id, gateway_id,
+            "timestamp" FROM vitals QUALIFY row_number() OVER (
+              PARTITION BY battery_level, gateway_id, heart_rate, sp_o2, bp_systolic, bp_diastolic, skin_temp,
+                room_temp, steps, time_bucket(INTERVAL '5 seconds', "timestamp")
+              ORDER BY "timestamp", msg_id) = 1""",
         # append mode keeps windows open that end after the newest valid record
         "stream_tumbling": tumbled + f"""SELECT {_SHORT} FROM tumbled
             WHERE time_bucket(INTERVAL '5 seconds', "timestamp") + INTERVAL '5 seconds'
@@ -330,6 +335,11 @@ def all_sql() -> dict[str, str]:
               CASE WHEN humidity IS NOT NULL THEN concat(',"humidity":', CAST(CAST(humidity AS INTEGER) AS VARCHAR), '.0') ELSE '' END,
               CASE WHEN battery_level IS NOT NULL THEN concat(',"battery_level":', battery_level) ELSE '' END,
               '}') AS value FROM latest""",
+        "hot_entries": typed + """SELECT
+            concat(CASE message_type WHEN 'VITAL_SIGN' THEN 'vitals' ELSE 'diaper' END, ':', device_id) AS latest_key,
+            concat('timeseries:', message_type, ':', device_id) AS series_key,
+            concat('gateway:', gateway_id, ':devices') AS gateway_key, device_id,
+            epoch_ms("timestamp") AS score, 3600 AS ttl_seconds, 720 AS cap FROM valid""",
         "hot_series": series + 'SELECT msg_id, message_type, device_id, "timestamp", position FROM series',
         "hot_series_ttl": f"WITH {TYPED}" + """, gapped AS (
               SELECT *, coalesce("timestamp" - lag("timestamp") OVER device >= INTERVAL '12 hours', false) AS fresh

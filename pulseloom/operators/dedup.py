@@ -82,9 +82,11 @@ def _emitted(rows: Column, carry: Column, millis: int) -> Column:
     return F.aggregate(rows, start, step, lambda state: state["kept"])
 
 
-def _last_emitted(ticks: Column, millis: int) -> Column:
+def _last_emitted(ticks: Column, first: Column, millis: int) -> Column:
+    """Last pass of a sorted array when ``first`` is its first pass."""
     def step(last: Column, tick: Column) -> Column:
-        return F.when(last.isNull() | (tick - last >= millis), tick).otherwise(last)
+        passes = (tick >= first) & (last.isNull() | (tick - last >= millis))
+        return F.when(passes, tick).otherwise(last)
 
     return F.aggregate(ticks, F.lit(None).cast("bigint"), step)
 
@@ -98,8 +100,7 @@ def _exits(ticks: Column, start: Column, millis: int) -> Column:
     early = F.filter(ticks, lambda t: t < start + millis)
     late = F.slice(F.filter(ticks, lambda t: t >= start + millis), 1, 1)
     pairs = F.transform(F.concat(early, late), lambda first: F.struct(
-        first.alias("first"),
-        _last_emitted(F.filter(ticks, lambda t: t >= first), millis).alias("last")))
+        first.alias("first"), _last_emitted(ticks, first, millis).alias("last")))
 
     def merge(kept: Column, pair: Column) -> Column:
         size = F.size(kept)

@@ -356,11 +356,11 @@ def lenient_as_typed(parsed: DataFrame) -> DataFrame:
     return parsed.withColumns({**renamed, **{c: F.lit(None).cast(t) for c, t in absent}})
 
 
-def flattened(vital_records: DataFrame, processed: str = "received_ts") -> DataFrame:
+def flattened(vital_records: DataFrame, processed: str = "received_ts", *extra: str) -> DataFrame:
     """Legacy flat record: the serial number is the device, every device a gateway's."""
     return vital_records.withColumns({
         "device_id": F.col("serial_no").cast("string"),
         "device_type": F.lit("gateway"),
         "spo2": F.col("sp_o2"),
         "processing_time": F.col(processed),
-    }).select(*FLATTENED_COLUMNS)
+    }).select(*extra, *FLATTENED_COLUMNS)

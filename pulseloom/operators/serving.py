@@ -44,6 +44,23 @@ def key_column(profile: str = "typed", what: str = "latest") -> Column:
     return name(F.col("message_type"), F.col("device_id"), profile)
 
 
+def entries(records: DataFrame, profile: str = "typed", ttl: int = TTL, cap: int = CAP,
+            time: str = "timestamp") -> DataFrame:
+    """What an external hot store is told about each record.
+
+    The record as JSON under its latest key; the same text in the series under its score,
+    trimmed to ``cap``; the device in its gateway's set; all for ``ttl`` seconds. A record
+    without a time has no score and belongs in no series.
+    """
+    gateway = keys.gateway_key(F.col("gateway_id")) if "gateway_id" in records.columns else F.lit(None).cast("string")
+    return records.select(
+        key_column(profile).alias("latest_key"),
+        F.when(F.col(time).isNotNull(), key_column(profile, "series")).alias("series_key"),
+        gateway.alias("gateway_key"), "device_id",
+        F.unix_millis(time).alias("score"), as_json(records).alias("value"),
+        F.lit(ttl).alias("ttl_seconds"), F.lit(cap).alias("cap"))
+
+
 def latest(records: DataFrame, as_of=None, ttl: int = TTL, time: str = "timestamp",
            order: str = "event", entry: Sequence[str] = ENTRY) -> DataFrame:
     """Newest record per message type and device.

@@ -7,14 +7,20 @@ a retried batch leaves the same files.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+import logging
 import re
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from pulseloom.functions.classify import DIAPER, VITAL, check_profile
 from pulseloom.operators import parse, serving
 
+log = logging.getLogger(__name__)
+
 DEAD_LETTERS = "dead_letters"
+FLUSH_SIZE = 100
 RETENTION_DAYS = 30
 
 TABLE_COLUMNS = {
@@ -150,3 +156,22 @@ def _gateways(old: DataFrame | None, points: DataFrame, ttl: int, now, time: str
         serving.alive("last_write", now, ttl))
     members = seen.groupBy("gateway_id", "device_id").agg(F.max("last_seen").alias("last_seen"))
     return members.join(islands, "gateway_id").filter(F.col("last_seen") >= F.col("island_start"))
+
+
+def push_serving(entries: DataFrame, connect: Callable[[], Callable[[list[Row]], None]],
+                 size: int = FLUSH_SIZE) -> None:
+    """Send ``serving.entries`` to an external hot store, ``size`` at a time.
+
+    ``connect`` runs once per partition and returns the function that sends one flush. A
+    flush that fails is logged and skipped; the pipeline goes on. Only one flush is held.
+    """
+
+    def push(rows: Iterator[Row]) -> None:
+        send = connect()
+        while flush := list(itertools.islice(rows, size)):
+            try:
+                send(flush)
+            except Exception:
+                log.exception("flush of %d entries failed", len(flush))
+
+    entries.foreachPartition(push)

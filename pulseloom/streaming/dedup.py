@@ -36,8 +36,8 @@ def tumbling(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "
 class _Throttle(StatefulProcessor):
     """Last pass of a key; forgotten once it cannot suppress anything."""
 
-    def __init__(self, columns: Sequence[str], order: str, millis: int):
-        self.columns, self.order, self.millis = list(columns), order, millis
+    def __init__(self, columns: Sequence[str], order: str, millis: int, keep: int):
+        self.columns, self.order, self.millis, self.keep = list(columns), order, millis, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -53,12 +53,12 @@ class _Throttle(StatefulProcessor):
                 yield record(*[row[c] for c in self.columns])
         if last != before:
             self.last.update((last,))
-            self.handle.registerTimer(last + self.millis)
+            self.handle.registerTimer(last + self.keep)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         state = self.last.get()
         # a later pass has armed its own timer
-        if state is not None and state[0] + self.millis <= expiredTimerInfo.getExpiryTimeInMs():
+        if state is not None and state[0] + self.keep <= expiredTimerInfo.getExpiryTimeInMs():
             self.last.clear()
         return iter(())
 
@@ -68,9 +68,12 @@ class _Throttle(StatefulProcessor):
 
 def throttle(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "timestamp",
              order: str = "msg_id", seconds: int = dedup.SECONDS,
-             watermark: str = "10 seconds") -> DataFrame:
+             watermark: str = "10 seconds", expire_after: int | None = None) -> DataFrame:
     """Rows at least ``seconds`` after the last pass of their key, sent at once.
 
+    ``expire_after`` seconds after its last pass a key is forgotten. It only frees state,
+    so the default is the earliest time that changes nothing: ``seconds``.
+
     Spark has no built-in operator for this rule, so it is a ``transformWithState``
     processor. Times cross to Python as integers.
     """
@@ -81,7 +84,8 @@ def throttle(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "
         "*", F.unix_millis(time).alias("_tick"), F.unix_micros(time).alias("_micros"),
         *[F.unix_micros(c).alias(f"_us_{c}") for c in times])
     passed = timed.groupBy(*keys).transformWithState(
-        statefulProcessor=_Throttle(columns, order, seconds * 1000),
+        statefulProcessor=_Throttle(
+            columns, order, seconds * 1000, max(expire_after or 0, seconds) * 1000),
         outputStructType=timed.select(*columns).schema,
         outputMode="Append", timeMode="EventTime")
     return passed.select(

@@ -116,3 +116,28 @@ def test_tiers_do_not_overlap(spark):
     got = lookups.tiered_range(hot, df, at(2000), now)
     assert ids(got) == list(range(2, 12))
     assert ids(got.filter("tier = 'hot'")) == [8, 9, 10, 11]
+
+
+def test_push_in_flushes(spark, tmp_path):
+    """Flushes of 100, a shorter last one, and a failing flush is skipped."""
+    folder = str(tmp_path)
+
+    def connect():
+        import os
+        import uuid
+        count = iter(range(10))
+
+        def send(rows):
+            if next(count) == 1:
+                raise OSError("store is down")
+            with open(os.path.join(folder, uuid.uuid4().hex), "w", encoding="utf-8") as out:
+                out.write("\n".join(r.latest_key for r in rows))
+
+        return send
+
+    df = writes(spark, *[(s, f"d{s}", "g") for s in range(250)] + [(None, "late", "g")]).coalesce(1)
+    entries = serving.entries(df)
+    assert entries.filter("series_key IS NULL").select("latest_key", "score").collect() == [("vitals:late", None)]
+    sinks.push_serving(entries, connect)
+    sizes = sorted(len(f.read_text().splitlines()) for f in tmp_path.iterdir())
+    assert sizes == [51, 100]
