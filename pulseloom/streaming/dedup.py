@@ -7,13 +7,18 @@ so the trigger's input limit bounds that task.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pulseloom.operators import dedup
 
+# Python workers need not have this package installed: the processor travels with the query.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def tumbling(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "timestamp",
              order: str = "msg_id", seconds: int = dedup.SECONDS,

@@ -1,8 +1,11 @@
 """Streaming jobs over several files against the batch result."""
 
 import datetime as dt
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -125,3 +128,10 @@ def test_lenient_pipeline(spark, folder, raw, tmp_path):
     for name in ("vital_signs", "diaper_status"):
         assert spark.read.parquet(f"{root}/{name}").count() == parsed.filter(F.col("route") == name).count()
     assert spark.read.parquet(f"{root}/{sinks.DEAD_LETTERS}").count() == parsed.filter("route = 'invalid'").count()
+
+
+def test_processor_travels_without_the_package(tmp_path):
+    blob = cloudpickle.dumps(stream_dedup._Throttle(["msg_id"], "msg_id", 5000, 5000))
+    load = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).millis); assert 'pulseloom' not in sys.modules"
+    done = subprocess.run([sys.executable, "-c", load], input=blob, cwd=tmp_path, capture_output=True, timeout=60)
+    assert done.stdout.strip().endswith(b"5000"), done.stderr
