@@ -599,6 +599,23 @@ def window_latency(spark, folder):
     return _rounded(quality.window_latency(rows, "done_ts", minutes=DAY, exact=True), "p50_ms", "p99_ms")
 
 
+# --- operators for training data, where they are installed ---
+
+_SQL: dict[str, str] = {}
+try:
+    import corpus_pipeline
+    from pulseloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # both are optional together; anything else that is missing is an error
+    if missing.name not in ("corpus_pipeline", "pulseloom.llm"):
+        raise
+else:
+    _QUERIES |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    _SQL |= llm_queries.SQL
+    if corpus_pipeline.ORACLE_SQL:
+        _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 # --- contract ----------------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -611,4 +628,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, sql in oracles.all_sql().items() if name in _QUERIES}
+    return {name: sql for name, sql in (oracles.all_sql() | _SQL).items() if name in _QUERIES}
