@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulseloom.llm import common, neighbours, quality, secrets, sharding, warc
+from pulseloom.llm import (byte_bpe, common, counting, neighbours, packing, quality, secrets, sharding,
+                           token_files, warc)
 
 QUERIES, SQL = {}, {}
 
@@ -24,6 +25,21 @@ def op2_quality_rules(spark, sf_dir):
     return quality.judge(common.documents(spark, sf_dir))
 
 
+@query
+def op3_token_planes(spark, sf_dir):
+    return token_files.report(common.documents(spark, sf_dir))
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    return counting.report(common.documents(spark, sf_dir))
+
+
+@query
+def op6_binary_packing(spark, sf_dir):
+    return packing.report(common.documents(spark, sf_dir))
+
+
 @query
 def op7_jump_shards(spark, sf_dir):
     return sharding.place(common.documents(spark, sf_dir), 24)
@@ -34,6 +50,11 @@ def op8_warc_transactions(spark, sf_dir):
     return warc.report(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@query
+def op9_byte_bpe(spark, sf_dir):
+    return byte_bpe.report(common.documents(spark, sf_dir))
+
+
 @query
 def op10_vantage_trees(spark, sf_dir):
     return neighbours.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
