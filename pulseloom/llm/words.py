@@ -7,6 +7,7 @@ such places, and chunks beyond Latin letters, are left to the library as a whole
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import re
@@ -79,6 +80,16 @@ def chunks(text: str) -> list[str] | None:
     return parts
 
 
+_CONTROL = re.compile("[\x1c-\x1f\x85\0]")
+
+
+def bare_chunks(text: str) -> list[str] | None:
+    """The same for tokenizers that drop white space: it may be of any kind and number."""
+    if _CONTROL.search(text):
+        return None
+    return text.split()
+
+
 def plain(chunk: str) -> str | None:
     """What a chunk stands for in the text, or None if it holds other white space."""
     body = chunk[1:] if chunk[0] in "\n" + START else chunk
@@ -97,46 +108,94 @@ class Encoder:
     The memory of a worker is bounded: a full table of chunks is emptied.
     """
 
-    MOST = 600_000
+    MOST = 800_000
 
     def __init__(self, name: str):
         self.name, self.tokenizer = name, load_json(name)
         self.known = kept().setdefault(("chunks", name), {})
+        special = [t for t in self.tokenizer.get_added_tokens_decoder().items() if t[1].special]
+        self.mark_id, self.mark = (special[0][0], special[0][1].content) if special else (None, None)
+        # white space that the tokenizer drops leaves nothing to tell by where it was
+        self.bare = self._ids([" a\n"]) == self._ids(["a"])
+        self.cut = bare_chunks if self.bare else chunks
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _many(self, texts: list[str]) -> list[bytes]:
+        """Short texts in few calls: a special token between two of them cuts the ids again."""
+        mark = self.mark
+        if mark is None:
+            return self._ids(texts)
+        odd = {i for i, t in enumerate(texts) if "<" in t or not t}
+        even = [t for i, t in enumerate(texts) if i not in odd] if odd else texts
+        out: list[bytes] = []
+        for at in range(0, len(even), 1000):
+            part = even[at:at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([mark.join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark_id)
+            data = ids.tobytes()
+            begins, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(data)]
+            out += [data[a:b] for a, b in zip(begins, ends)]
+        if not odd:
+            return out
+        rest, whole = iter(out), iter(self._ids([texts[i] for i in sorted(odd)]))
+        return [next(whole) if i in odd else next(rest) for i in range(len(texts))]
+
+    def _learn(self, new: list[str]) -> None:
+        known, tails, single = self.known, [], set()
+        for c in new:
+            m = _TAIL.fullmatch(c)
+            if m is None:
+                single.add(c)
+                continue
+            head, tail = m.groups()
+            tail = tail if self.bare else START + tail
+            tails.append((c, head, tail))
+            if head not in known:
+                single.add(head)
+            if tail not in known:
+                single.add(tail)
+        fine, shown = [], []
+        for c in single:
+            text = c if self.bare else plain(c)
+            if text is None:
+                known[c] = None
+            else:
+                fine.append(c)
+                shown.append(text)
+        known.update(zip(fine, self._many(shown)))
+        for c, head, tail in tails:
+            a, b = known[head], known[tail]
+            known[c] = None if a is None or b is None else a + b
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed little-endian 32-bit ids of every text."""
-        cut = [chunks(t) if t else [] for t in texts]
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here refers to itself, and the table is large
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        cut = [self.cut(t) if t else [] for t in texts]
         wanted = set()
         for parts in cut:
             if parts:
                 wanted.update(parts)
         if len(self.known) + len(wanted) > self.MOST:
             self.known.clear()
-        known = self.known
-        new = [c for c in wanted if c not in known]
-        tails = {c: m.groups() for c in new if (m := _TAIL.fullmatch(c))}
-        single = {x for c in new if c not in tails for x in (c,)}
-        for head, tail in tails.values():
-            single.update(x for x in (head, START + tail) if x not in known)
-        whole = {c: plain(c) for c in single}
-        fine = [c for c in single if whole[c] is not None]
-        known.update(zip(fine, self._ids([whole[c] for c in fine])))
-        known.update((c, None) for c in single if whole[c] is None)
-        for c, (head, tail) in tails.items():
-            a, b = known[head], known[START + tail]
-            known[c] = None if a is None or b is None else a + b
-        out: list = []
-        for text, parts in zip(texts, cut):
-            ids = b"" if not text else None
-            if parts:
-                found = list(map(known.__getitem__, parts))
-                ids = None if None in found else b"".join(found)
-            out.append(ids)
-        rest = [i for i, x in enumerate(out) if x is None]
+        self._learn([c for c in wanted if c not in self.known])
+        look, out, rest = self.known.__getitem__, [], []
+        for i, parts in enumerate(cut):
+            try:
+                out.append(b"".join(map(look, parts)))
+            except TypeError:  # not cut, or a chunk that must not be
+                out.append(None)
+                rest.append(i)
         for i, x in zip(rest, self._ids([texts[i] for i in rest])):
             out[i] = x
         return out
