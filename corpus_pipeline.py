@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulseloom.llm import common, quality, secrets
+from pulseloom.llm import common, jaccard, packing, quality, secrets
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -10,12 +10,23 @@ def quality_rules(spark, docs, sf_dir):
     return quality.keep(docs)
 
 
+def near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near copies."""
+    return jaccard.keep_one(docs)
+
+
 def secret_scan(spark, docs, sf_dir):
     """All documents, with every reported span masked."""
     return secrets.mask(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("secret_scan", secret_scan)]
+def binary_packing(spark, docs, sf_dir):
+    """The pieces of all documents and their sequences."""
+    return packing.report(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("secret_scan", secret_scan),
+          ("binary_packing", binary_packing)]
 
 # packing counts tokens, which SQL cannot
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulseloom.llm import (byte_bpe, common, counting, neighbours, packing, quality, secrets, sharding,
+from pulseloom.llm import (byte_bpe, common, counting, jaccard, neighbours, packing, quality, secrets, sharding,
                            token_files, warc)
 
 QUERIES, SQL = {}, {}
@@ -35,6 +35,11 @@ def op4_token_counts(spark, sf_dir):
     return counting.report(common.documents(spark, sf_dir))
 
 
+@query
+def op5_ngram_jaccard(spark, sf_dir):
+    return jaccard.report(common.documents(spark, sf_dir))
+
+
 @query
 def op6_binary_packing(spark, sf_dir):
     return packing.report(common.documents(spark, sf_dir))
