@@ -8,7 +8,8 @@ class, so the prefix is extended until enough remain. Candidates are verified on
 
 Copies (equal sets) collapse first. Within a signature, candidates meet a hub, not each
 other, as long as that keeps joining components; what then still lies in different
-components is compared pair by pair, so no link is missed.
+components is compared exactly, so no link is missed: few sets pair by pair, many (a large
+group of loose copies) in blocks, where pairs are counted inside tasks and are no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ SIZE = 5
 PERCENT = 75
 FREQUENT = 32  # documents from which on a shingle is frequent
 PER_CLASS = 16  # shingles of a set for one class of frequent ones
-ROUNDS = 6
+ROUNDS = 2  # times that candidates meet hubs
+LIGHT = 12  # sets of a signature up to which pairs are rows
+BLOCK = 128  # sets compared at once
 
 _U = np.uint64
 _MIX = [_U(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -315,10 +318,68 @@ def components(signed: DataFrame, folder: str) -> DataFrame:
         labels, more = link(labels, pairs, f"star-{turn}")
         if not more:
             break
-    left = differing(labels)
+    # the rest, exactly: small signatures pair by pair, large ones block against block
+    rows = differing(labels)
+    open_ = rows.groupBy("sig").agg(F.count("*").alias("c"), F.min(F.struct("comp", "uid")).alias("low"),
+                                    F.max("comp").alias("high")).filter("low.comp <> high")
+    opened = common.staged(rows.join(open_.select("sig", "c", F.col("low.uid").alias("hub")), "sig"), f"{folder}/open")
+    left = opened.filter(F.col("c") <= LIGHT).drop("c", "hub")
     right = left.select("sig", F.col("uid").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("m"))
     rest = left.join(right, "sig").filter((F.col("uid") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & fits)
-    return link(labels, rest.select(F.col("uid").alias("a"), "b").distinct(), "rest")[0]
+    labels = link(labels, rest.select(F.col("uid").alias("a"), "b").distinct(), "rest")[0]
+    return merged(labels, dense(opened.filter(F.col("c") > LIGHT), sets, labels, f"{folder}/dense"), f"{folder}/last")
+
+
+def dense(opened: DataFrame, sets: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """Links (u, v) between components whose sets meet in large signatures.
+
+    Sets that meet, directly or through others, form a cluster, dealt into blocks. Each task
+    compares two blocks by counting shared shingles, so pairs are rows nowhere and each set
+    travels once per block of its cluster.
+    """
+    nodes = opened.select("uid").distinct().withColumn("comp", F.col("uid"))
+    meet = opened.select(F.col("uid").alias("u"), F.col("hub").alias("v"))
+    clusters = merged(common.staged(nodes, f"{folder}/nodes"), meet, f"{folder}/clusters").withColumnRenamed(
+        "comp", "cluster")
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    members = (clusters.join(sizes, "cluster").withColumn("at", F.pmod(F.xxhash64("uid"), F.col("blocks")))
+               .join(labels, "uid").join(sets, "uid"))
+    every = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "cluster", "comp", "members", F.col("at") == F.least("at", "other"), F.least("at", "other").alias("i"),
+        F.greatest("at", "other").alias("j")).toDF("cluster", "comp", "members", "lower", "i", "j")
+    n = common.partitions(sets.sparkSession)
+    return every.repartition(n, "cluster", "i", "j").groupBy("cluster", "i", "j").applyInPandas(
+        _blocks, "u long, v long")
+
+
+def _blocks(frame: pd.DataFrame) -> pd.DataFrame:
+    """Component pairs that some pair of sets from two blocks (or within one) links."""
+    one = frame["i"].iloc[0] == frame["j"].iloc[0]
+    sides = [frame, frame] if one else [frame[frame["lower"]], frame[~frame["lower"]]]
+    sets = [[np.frombuffer(x, _U) for x in side["members"]] for side in sides]
+    comps = [side["comp"].to_numpy() for side in sides]
+    sizes = [np.array([len(x) for x in side], np.int64) for side in sets]
+    if not len(sets[0]) or not len(sets[1]):
+        return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+    flat = [np.concatenate(side) for side in sets]
+    owner = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    shared = np.intersect1d(flat[0], flat[1])
+    both = np.zeros((len(sets[0]), len(sets[1])), np.float32)
+    for at in range(0, len(shared), 8192):
+        part, planes = shared[at:at + 8192], []
+        for values, of, n in zip(flat, owner, sizes):
+            where = np.searchsorted(part, values)
+            where[where == len(part)] = 0
+            hit = part[where] == values
+            plane = np.zeros((len(n), len(part)), np.float32)
+            plane[of[hit], where[hit]] = 1
+            planes.append(plane)
+        both += planes[0] @ planes[1].T
+    both = both.astype(np.int64)
+    link = 100 * both >= PERCENT * (sizes[0][:, None] + sizes[1] - both)
+    link &= comps[0][:, None] != comps[1]
+    x, y = np.nonzero(link)
+    return pd.DataFrame({"u": comps[0][x], "v": comps[1][y]}).drop_duplicates()
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -340,12 +401,13 @@ def grouped(docs: DataFrame) -> DataFrame:
         f"{folder}/reps")
     total = reps.agg(F.sum("n_shingles")).first()[0] or 1
     bits = min(64, max(30, int(total).bit_length() + 5))
-    by_batch = reps.select("uid", "path", F.shiftright("uid", 22).alias("batch")).groupBy("batch")
-    asked = common.staged(by_batch.applyInPandas(_cells(bits, ranges), _CELLS), f"{folder}/cells")
-    told = asked.filter("range >= 0").groupBy("range").applyInPandas(
+    by_batch = reps.select("uid", "path", F.shiftright("uid", 22).alias("batch"))
+    # a few rows that stand for much work: dealt out by number, not by size
+    asked = common.staged(by_batch.repartition(ranges, "batch").groupBy("batch").applyInPandas(_cells(bits, ranges), _CELLS), f"{folder}/cells")
+    told = asked.filter("range >= 0").repartition(ranges, "range").groupBy("range").applyInPandas(
         _classes, "range int, batch long, path string, cells binary")
     whole = told.unionByName(asked.filter("range < 0").select("range", "batch", "path", "cells"))
-    signed = common.staged(whole.groupBy("batch").applyInPandas(_sign(bits, ranges), _SIGNED), f"{folder}/signed")
+    signed = common.staged(whole.repartition(ranges, "batch").groupBy("batch").applyInPandas(_sign(bits, ranges), _SIGNED), f"{folder}/signed")
     labels = components(signed, folder)
     placed = reps.join(labels, "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
     least = placed.groupBy("comp").agg(F.min(F.struct("doc_id", "key")).alias("first"))
