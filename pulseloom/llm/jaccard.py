@@ -283,14 +283,18 @@ def components(signed: DataFrame, folder: str) -> DataFrame:
     """(uid, comp) of the sets that have signatures."""
     sigs = signed.filter(F.col("sig").isNotNull()).select("sig", "uid", "n")
     sets = signed.filter(F.col("sig").isNull()).select("uid", "members")
-    labels = sets.select("uid", F.col("uid").alias("comp"))
     # signatures of one set alone lead nowhere
     shared = sigs.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")
     sigs = common.staged(sigs.join(shared, "sig"), f"{folder}/shared")
     fits = (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m"))
 
+    sets = common.staged(sets.join(sigs.select("uid").distinct(), "uid", "left_semi"), f"{folder}/sets")
+    labels = sets.select("uid", F.col("uid").alias("comp"))
+    n = common.partitions(signed.sparkSession)
+
     def differing(labels):
-        return sigs.join(labels, "uid")
+        # by signature once: the hubs and the join with them share this exchange
+        return sigs.join(labels, "uid").repartition(n, "sig")
 
     def link(labels, pairs, name):
         pairs = common.staged(pairs, f"{folder}/{name}-pairs")
@@ -303,12 +307,6 @@ def components(signed: DataFrame, folder: str) -> DataFrame:
 
     for turn in range(ROUNDS):
         rows = differing(labels)
-        # how many pairs lie across components, from one count per signature and component
-        per = rows.groupBy("sig", "comp").agg(F.count("*").alias("c")).groupBy("sig").agg(
-            F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"))
-        across, size = per.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2), F.sum("all")).first()
-        if turn and (across or 0) <= 2 * (size or 0):
-            break
         hub = rows.groupBy("sig").agg(
             F.min(F.struct(F.xxhash64("uid", F.lit(turn)).alias("h"), "uid", "comp", "n")).alias("hub"),
             (F.min("comp") != F.max("comp")).alias("open")).filter("open").select(
