@@ -98,8 +98,9 @@ def plain(chunk: str) -> str | None:
     return body if chunk[0] == START else chunk if chunk[0] == "\n" else " " + chunk
 
 
-# letters or digits, then marks that join neither them nor an apostrophe
-_TAIL = re.compile(r"([\n\0]?[^\W_]+)([.,;:!?*$%&#|]+)")
+# Latin letters or digits, then marks that join neither them nor an apostrophe; not the
+# dotted capital I, which falls apart when lower-cased
+_TAIL = re.compile(r"([\n\0]?[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?*$%&#|]+)")
 
 
 class Encoder:
