@@ -462,8 +462,9 @@ def recent_vitals(spark, folder):
 
 @query
 def device_day_stats(spark, folder):
-    records = dedup.tumbling(_vitals(spark, folder))
-    return history.device_day_stats(records, _now(spark, folder))
+    # the day before deduplication: five-second windows never cross midnight
+    now = _now(spark, folder)
+    return history.device_day_stats(dedup.tumbling(history.of_day(_vitals(spark, folder), now)), now)
 
 
 @query

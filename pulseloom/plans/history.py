@@ -43,10 +43,15 @@ def recent_vitals(vitals: DataFrame, as_of, hours: int = 1, limit: int = 100) ->
     return rows.select("msg_id", "device_id", "heart_rate", _spo2(rows).alias("spo2"), "timestamp")
 
 
+def of_day(rows: DataFrame, as_of) -> DataFrame:
+    """Rows of the day of ``as_of``; to be taken before anything is ranked."""
+    day = F.to_date(F.lit(as_of))
+    return prune(rows, start=day.cast("timestamp")).filter(F.to_date("timestamp") == day)
+
+
 def device_day_stats(vitals: DataFrame, as_of) -> DataFrame:
     """Per device of the day of ``as_of``, busiest first."""
-    day = F.to_date(F.lit(as_of))
-    today = prune(vitals, start=day.cast("timestamp")).filter(F.to_date("timestamp") == day)
+    today = of_day(vitals, as_of)
     return today.groupBy("device_id").agg(
         F.count("*").alias("count"), F.avg("heart_rate").alias("avg_hr"),
         F.avg(_spo2(vitals)).alias("avg_spo2")).orderBy(F.desc("count"), "device_id")

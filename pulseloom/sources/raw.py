@@ -15,8 +15,8 @@ _TOPIC = r"^UWB/(.+)_([^_]+)$"
 
 
 def _kafka_id() -> Column:
-    # offsets are dense per partition, so interleaving partitions keeps ids unique
-    return F.col("offset") * 1024 + F.col("partition")
+    # offsets count per topic and partition, so all three name a record
+    return F.xxhash64("topic", "partition", "offset")
 
 
 def read_raw(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
@@ -25,7 +25,7 @@ def read_raw(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
 
     Text files hold one JSON message per line, and their modification time is the
     arrival time; equal lines of one file share an id. Kafka values are UTF-8 bytes and carry their own record time;
-    it needs the connector package on the class path and at most 1024 partitions.
+    it needs the connector package on the class path.
     """
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
