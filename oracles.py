@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 DEVICE, GATEWAY = "MAC000001", "GW0001"
+TIER_CAP = 5  # a series so short that devices fill it within the hot tier
 TOPIC_KINDS = ("Health", "Loca", "TagConf", "Message", "AncConf")
 
 RAW = """
@@ -369,16 +370,14 @@ def all_sql() -> dict[str, str]:
             CAST(432000 - (epoch_ms(now) - epoch_ms("timestamp")) // 1000 AS BIGINT) AS ttl_seconds
             FROM latest, clock""",
         "live_devices": latest + "SELECT message_type, count(*) AS devices FROM latest GROUP BY message_type",
-        "tiered_range": typed + """, hot AS (
-              SELECT *, lag("timestamp") OVER (PARTITION BY device_id ORDER BY "timestamp", msg_id) AS prev FROM vitals
-            ), island AS (
-              SELECT device_id, coalesce(max("timestamp") FILTER (WHERE "timestamp" - prev >= INTERVAL '5 days'),
-                min("timestamp")) AS island_start, max("timestamp") AS last_write FROM hot GROUP BY device_id
-            ) SELECT msg_id, v.device_id, heart_rate, "timestamp", 'hot' AS tier
-              FROM vitals v JOIN island i USING (device_id), clock
-              WHERE "timestamp" >= now - INTERVAL '12 hours' AND "timestamp" >= island_start
-            UNION ALL SELECT msg_id, device_id, heart_rate, "timestamp", 'history' FROM vitals, clock
-              WHERE "timestamp" >= now - INTERVAL '5 days' AND "timestamp" < now - INTERVAL '12 hours'""",
+        "tiered_range": typed + f""", ranked AS (
+              SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY "timestamp" DESC, msg_id DESC) AS n FROM vitals
+            ), oldest AS (
+              SELECT device_id, max("timestamp") FILTER (WHERE n = {TIER_CAP}) AS full_from FROM ranked GROUP BY device_id
+            ) SELECT msg_id, v.device_id, heart_rate, "timestamp",
+                CASE WHEN "timestamp" >= now - INTERVAL '12 hours' AND (full_from IS NULL OR "timestamp" > full_from)
+                     THEN 'hot' ELSE 'history' END AS tier
+              FROM vitals v JOIN oldest USING (device_id), clock WHERE "timestamp" >= now - INTERVAL '5 days'""",
         "dead_letters": typed + """SELECT msg_id, received_ts, payload, 'typed' AS profile, route, reasons
             FROM typed WHERE route = 'invalid'""",
         "retained_days": typed + """SELECT CAST("timestamp" AS DATE) AS event_date, count(*) AS row_count

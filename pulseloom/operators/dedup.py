@@ -24,6 +24,7 @@ LEGACY_KEY = ("device_id", "gateway_id", "heart_rate", "spo2", "bp_systolic", "b
               "skin_temp", "room_temp", "steps", "battery_level")
 
 SECONDS = 5
+WATERMARK = 600  # seconds of arrival that marks of passed rows are kept for late ones
 # Cells of n seconds per bucket: bounds what one task holds of a key (see throttle).
 CELLS_PER_BUCKET = 144
 
@@ -34,11 +35,6 @@ def key_columns(df: DataFrame) -> list[str]:
     return ["message_type", "gateway_id", "mac", *[c for c in readings if c in df.columns]]
 
 
-def short_key(columns: Sequence[str]) -> Column:
-    """64-bit digest of a key, for display or sampling; never used to compare keys."""
-    return F.xxhash64(*columns)
-
-
 def window_start(time: str, seconds: int) -> Column:
     return F.window(F.col(time), f"{seconds} seconds").getField("start")
 
@@ -177,10 +173,15 @@ def throttle(df: DataFrame, keys: Sequence[str] | None = None, time: str = "time
 
 
 def recent(passed: DataFrame, now: Column, keys: Sequence[str], time: str = "timestamp",
-           seconds: int = SECONDS) -> DataFrame:
-    """Key and time of passed rows young enough to suppress a later one."""
-    young = F.unix_millis(now) - F.unix_millis(time) < seconds * 1000
-    return passed.filter(young).select(*keys, time)
+           seconds: int = SECONDS, clock: str = "received_ts", watermark: int = WATERMARK) -> DataFrame:
+    """Key, time and arrival of passed rows that may still suppress another one.
+
+    A row may follow its device's last one by up to ``watermark`` seconds of arrival, so
+    marks live that much longer than ``seconds``. Their age is judged by ``clock``, the
+    arrival: event times of different devices say nothing about each other.
+    """
+    young = F.unix_millis(now) - F.unix_millis(clock) < (seconds + watermark) * 1000
+    return passed.filter(young).select(*keys, *dict.fromkeys((time, clock)))
 
 
 def continued(df: DataFrame, seen: DataFrame | None, method: str = "throttle",

@@ -235,9 +235,6 @@ def _lenient_values(unified_spo2: bool) -> dict[str, Column]:
     def either(inside: Column, outside: Column) -> Column:
         return F.when(nested, inside).otherwise(outside)
 
-    def number(inside: Column, outside: Column, data_type: str = "int") -> Column:
-        return d.as_type(either(inside, outside), data_type)
-
     def with_default(node: Column, data_type: str, default: Column) -> Column:
         """Flat records fill an absent key; a JSON null there stays empty."""
         return F.when(~nested & node.isNull(), default).otherwise(d.as_type(node, data_type))
@@ -249,6 +246,25 @@ def _lenient_values(unified_spo2: bool) -> dict[str, Column]:
     text_humidity = diaper & _not_a_number(humidity)
     level = F.when(~text_humidity, F.coalesce(d.as_type(humidity, "double"), F.lit(0.0)))
     button = either(inner("button_status"), keys.first_present("button", "button_status"))
+    text_button = nested & d.is_text(button)
+    body_temp = either(inner("temperature", "body_temp"),
+                       keys.first_present("skin temp", "skin_temp", "room temp", "room_temp"))
+    steps = either(inner("steps"), keys["steps"])
+    nodes = {
+        "heart_rate": either(inner("heart_rate"), keys["hr"]),
+        "systolic_bp": either(inner("systolic_bp"), keys.first_present("bp syst", "bp_syst")),
+        "diastolic_bp": either(inner("diastolic_bp"), keys.first_present("bp diast", "bp_diast")),
+        "spo2": either(inner("spo2"), keys.first_present(*spo2_keys)),
+        "battery_level": either(inner("battery_level"), keys.first_present("battery level", "battery_level")),
+    }
+    numbers = {name: d.as_type(node, "int") for name, node in nodes.items()}
+    pressed = F.when(text_button, derive.hex_to_int(d.as_text(button))).otherwise(d.as_type(button, "int"))
+
+    def lost(node: Column, value: Column, of: Column) -> Column:
+        """A present value that has no number of its own: kept as a reject, not as a null."""
+        present = node.isNotNull() & ~d.kind(node).startswith("VOID")
+        return F.coalesce(of & present & value.isNull(), F.lit(False))
+
     unusable = {
         "malformed_json": ~F.col("_is_json"),
         "missing_content": F.col("_is_json") & content.isNull(),
@@ -256,6 +272,11 @@ def _lenient_values(unified_spo2: bool) -> dict[str, Column]:
         "bad_data": nested & ~d.is_object(data),
         "bad_timestamp": ~nested & stamp.isNotNull() & ~d.is_text(stamp),
         "bad_humidity": F.coalesce(text_humidity, F.lit(False)),
+        **{f"bad_{name}": lost(node, numbers[name], vital if name != "battery_level" else vital | diaper)
+           for name, node in nodes.items()},
+        "bad_body_temp": lost(body_temp, d.as_type(body_temp, "double"), vital),
+        "bad_steps": lost(steps, d.as_type(steps, "int"), vital),
+        "bad_button_status": lost(button, pressed, diaper),
     }
     no_device = ~nested & (~d.truthy(device) | (d.as_text(device) == "unknown"))
     values = {
@@ -265,22 +286,12 @@ def _lenient_values(unified_spo2: bool) -> dict[str, Column]:
         "timestamp": either(
             F.when(d.is_text(sent), times.from_text(d.as_text(sent))),
             times.event_time(F.when(d.is_text(stamp) | stamp.isNull(), stamp), F.col("received_ts"))),
-        "heart_rate": number(inner("heart_rate"), keys["hr"]),
-        "systolic_bp": number(inner("systolic_bp"), keys.first_present("bp syst", "bp_syst")),
-        "diastolic_bp": number(inner("diastolic_bp"), keys.first_present("bp diast", "bp_diast")),
-        "spo2": number(inner("spo2"), keys.first_present(*spo2_keys)),
-        "body_temp": with_default(
-            either(inner("temperature", "body_temp"),
-                   keys.first_present("skin temp", "skin_temp", "room temp", "room_temp")),
-            "double", F.lit(0.0)),
-        "steps": with_default(either(inner("steps"), keys["steps"]), "int", F.lit(0)),
-        "battery_level": number(
-            inner("battery_level"), keys.first_present("battery level", "battery_level")),
+        **numbers,
+        "body_temp": with_default(body_temp, "double", F.lit(0.0)),
+        "steps": with_default(steps, "int", F.lit(0)),
         "humidity": F.when(~(nested & humidity.isNull()), level.cast("int")),
         "diaper_status": derive.diaper_level(level),
-        "button_status": F.when(
-            nested & d.is_text(button), derive.hex_to_int(d.as_text(button))
-        ).otherwise(d.as_type(button, "int")),
+        "button_status": pressed,
     }
     only_vital = ("heart_rate", "systolic_bp", "diastolic_bp", "spo2", "body_temp", "steps")
     only_diaper = ("humidity", "diaper_status", "button_status")

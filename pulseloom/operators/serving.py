@@ -61,6 +61,22 @@ def entries(records: DataFrame, profile: str = "typed", ttl: int = TTL, cap: int
         F.lit(ttl).alias("ttl_seconds"), F.lit(cap).alias("cap"))
 
 
+def newest_written(records: DataFrame, as_of, ttl: int = TTL, time: str = "timestamp", order: str = "event",
+                   written: str = "last_write", entry: Sequence[str] = ENTRY) -> DataFrame:
+    """``latest`` with a life that counts from the last write of an entry by arrival.
+
+    ``written`` is the arrival of a record, or the last write of an entry of an earlier
+    snapshot. A record may carry any time, even a far-future one: it moves no other
+    entry's life. Both answers come from one partial aggregation.
+    """
+    clock = F.struct(F.col({"event": time, "arrival": "received_ts"}[order]), F.col("msg_id"))
+    rest = [c for c in records.columns if c not in entry and c != written]
+    newest = records.groupBy(*entry).agg(
+        F.max_by(F.struct(*rest), clock).alias("_r"), F.max(written).alias(written))
+    live = newest.filter(alive(written, as_of, ttl))
+    return live.select(*[F.col(c) if c in entry or c == written else F.col("_r")[c].alias(c) for c in records.columns])
+
+
 def latest(records: DataFrame, as_of=None, ttl: int = TTL, time: str = "timestamp",
            order: str = "event", entry: Sequence[str] = ENTRY) -> DataFrame:
     """Newest record per message type and device.
@@ -76,14 +92,16 @@ def latest(records: DataFrame, as_of=None, ttl: int = TTL, time: str = "timestam
 
 
 def series(records: DataFrame, cap: int = CAP, ttl: int | None = None, as_of=None,
-           time: str = "timestamp", entry: Sequence[str] = ENTRY, collapse: bool = True) -> DataFrame:
+           time: str = "timestamp", entry: Sequence[str] = ENTRY, collapse: bool = True,
+           clock: str | None = None) -> DataFrame:
     """Newest ``cap`` points per message type and device, ranked by ``position`` from 1.
 
     Equal records at one time are one point (``collapse=False`` when the input is
     already deduplicated, which saves an exchange). The rank is limited below the
     exchange, so a device sends at most ``cap`` rows per map task. ``ttl`` then drops
     what a silence erased: the surviving points are always the newest, so looking at
-    the limited rows is enough.
+    the limited rows is enough. Silence is judged by ``clock``, the event time unless
+    told otherwise.
     """
     points = records.filter(F.col(time).isNotNull())
     if collapse:
@@ -93,11 +111,14 @@ def series(records: DataFrame, cap: int = CAP, ttl: int | None = None, as_of=Non
         F.col("position") <= cap)
     if ttl is None:
         return points
-    newer = F.lag(time).over(newest_first)
-    silence = F.coalesce(_millis(newer) - _millis(time) >= ttl * 1000, F.lit(False))
+    clock = clock or time
+    if clock != time:
+        newest_first = Window.partitionBy(*entry).orderBy(F.desc(clock), F.desc("msg_id"))
+    newer = F.lag(clock).over(newest_first)
+    silence = F.coalesce(_millis(newer) - _millis(clock) >= ttl * 1000, F.lit(False))
     points = points.withColumn("_silent", silence.cast("int")).withColumn(
         "_erased", F.sum("_silent").over(newest_first.rowsBetween(Window.unboundedPreceding, 0)))
-    points = points.withColumn("_last", F.first(time).over(newest_first)).filter(F.col("_erased") == 0)
+    points = points.withColumn("_last", F.first(clock).over(newest_first)).filter(F.col("_erased") == 0)
     if as_of is not None:
         points = points.filter(alive("_last", as_of, ttl))
     return points.drop("_silent", "_erased", "_last")

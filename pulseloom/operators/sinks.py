@@ -22,6 +22,7 @@ log = logging.getLogger(__name__)
 DEAD_LETTERS = "dead_letters"
 FLUSH_SIZE = 100
 RETENTION_DAYS = 30
+UNDATED = "event_date=__HIVE_DEFAULT_PARTITION__"  # the name Spark gives a null partition
 
 TABLE_COLUMNS = {
     "typed": {VITAL: parse.VITAL_COLUMNS, DIAPER: parse.DIAPER_COLUMNS},
@@ -74,13 +75,20 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def retained(table: DataFrame, as_of, days: int = RETENTION_DAYS) -> DataFrame:
-    """Rows of the last ``days`` days."""
-    return table.filter(F.col("event_date") > F.date_sub(F.to_date(F.lit(as_of)), days))
+    """Rows of the last ``days`` days; a row without a day ages from its arrival."""
+    oldest = F.date_sub(F.to_date(F.lit(as_of)), days)
+    young = F.col("event_date") > oldest
+    if "received_ts" in table.columns:
+        young = young | (F.col("event_date").isNull() & (F.to_date("received_ts") > oldest))
+    return table.filter(young)
 
 
 def expire(spark: SparkSession, root: str, table: str, as_of: dt.datetime,
            days: int = RETENTION_DAYS) -> list[str]:
-    """Delete day partitions older than ``days``; returns the deleted days."""
+    """Delete day partitions older than ``days``; returns the deleted days.
+
+    A folder of rows without a day goes when the newest of them arrived that long ago.
+    """
     oldest = as_of.date() - dt.timedelta(days=days)
     gone = set()
     for _, batch in _children(spark, f"{root}/{table}"):
@@ -89,6 +97,11 @@ def expire(spark: SparkSession, root: str, table: str, as_of: dt.datetime,
             if found and dt.date.fromisoformat(found[1]) <= oldest:
                 _delete(spark, path)
                 gone.add(found[1])
+            elif name == UNDATED:
+                newest = spark.read.parquet(path).agg(F.max(F.to_date("received_ts"))).first()[0]
+                if newest is None or newest <= oldest:
+                    _delete(spark, path)
+                    gone.add(name.removeprefix("event_date="))
     return sorted(gone)
 
 
@@ -111,14 +124,26 @@ def read_snapshot(spark: SparkSession, root: str, view: str, before: int | None
     return spark.read.parquet(f"{root}/{view}/batch_id={versions[-1]}") if versions else None
 
 
+def trim(spark: SparkSession, root: str, view: str, batch_id: int, keep: int = 2) -> None:
+    """Delete all but the newest snapshots, so their number does not grow with time."""
+    for version in _snapshots(spark, f"{root}/{view}")[:-keep]:
+        if version < batch_id:
+            _delete(spark, f"{root}/{view}/batch_id={version}")
+
+
 def _merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
     return new if old is None else old.unionByName(new, allowMissingColumns=True)
 
 
 def write_serving(records: DataFrame, root: str, batch_id: int = 0, ttl: int = serving.TTL,
-                  cap: int = serving.CAP, time: str = "timestamp", keep: int = 2) -> None:
+                  cap: int = serving.CAP, time: str = "timestamp", keep: int = 2, order: str = "event",
+                  clock: str = "received_ts") -> None:
     """Fold a batch of records into the hot views and write them as new snapshots.
 
+    ``clock`` decides what is alive: by default the arrival, so a device with a wrong
+    clock neither erases nor prolongs the entries of others. ``time`` orders the points;
+    ``order='arrival'`` lets the last message to arrive be the latest.
+
     A snapshot holds only live entries (at most ``cap`` points each), so the cost of a
     batch follows the number of live devices, not the length of history.
     """
@@ -131,17 +156,15 @@ def write_serving(records: DataFrame, root: str, batch_id: int = 0, ttl: int = s
     def write(view: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{root}/{view}/batch_id={batch_id}")
 
-    newest = _merge(previous("latest"), records)
-    now = newest.agg(F.max(F.coalesce(time, "received_ts"))).scalar()
-    write("latest", serving.latest(newest, as_of=now, ttl=ttl, time=time))
+    newest = _merge(previous("latest"), records.withColumn("last_write", F.col(clock)))
+    now = newest.agg(F.max("last_write")).scalar()
+    write("latest", serving.newest_written(newest, now, ttl, time, order))
     pool = _merge(previous("series"), points)
-    write("series", serving.series(pool, cap, ttl, now, time).drop("position"))
+    write("series", serving.series(pool, cap, ttl, now, time, clock=clock).drop("position"))
     if "gateway_id" in records.columns:
-        write("gateways", _gateways(previous("gateways"), points, ttl, now, time))
+        write("gateways", _gateways(previous("gateways"), points, ttl, now, clock))
     for view in ("latest", "series", "gateways"):
-        for version in _snapshots(spark, f"{root}/{view}")[:-keep]:
-            if version < batch_id:
-                _delete(spark, f"{root}/{view}/batch_id={version}")
+        trim(spark, root, view, batch_id, keep)
 
 
 def _gateways(old: DataFrame | None, points: DataFrame, ttl: int, now, time: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pulseloom.operators import serving
+from pulseloom.operators.dedup import first_by
 from pulseloom.sources.history import prune
 
 
@@ -41,11 +42,25 @@ def live_devices(latest: DataFrame) -> DataFrame:
 
 
 def tiered_range(series: DataFrame, history: DataFrame, start, as_of, ttl: int = serving.TTL,
-                 time: str = "timestamp") -> DataFrame:
-    """Rows since ``start``: the last ``ttl`` seconds from the hot series, older from history."""
+                 time: str = "timestamp", cap: int = serving.CAP) -> DataFrame:
+    """Rows since ``start``: the last ``ttl`` seconds from the hot series, older from history.
+
+    A series of ``cap`` points is full and may have lost older ones: history answers for
+    its device up to the oldest point, and that point's time as well. Equal records are
+    one row in history as they are one point in a series.
+    """
     cut = F.lit(as_of) - F.make_dt_interval(secs=F.lit(ttl))
     columns = [c for c in history.columns if c in series.columns]
-    hot = series.filter((F.col(time) >= cut) & (F.col(time) >= F.lit(start)))
-    cold = prune(history, start, cut, time)
+    full = series.groupBy(*serving.ENTRY).agg(F.count("*").alias("_n"), F.min(time).alias("_oldest")).filter(
+        F.col("_n") >= cap).drop("_n")
+    after = F.coalesce(F.col(time) > F.col("_oldest"), F.lit(True))
+    hot = series.filter((F.col(time) >= cut) & (F.col(time) >= F.lit(start))).join(
+        full, list(serving.ENTRY), "left").filter(after)
+    # what lies behind the cut needs no look at the series
+    behind = prune(history, start, cut, time)
+    trimmed = prune(history, cut, None, time).filter(F.col(time) >= F.lit(start)).join(full, list(serving.ENTRY)).filter(
+        F.col(time) <= F.col("_oldest")).select(history.columns)
+    cold = behind.unionByName(trimmed)
+    cold = first_by(cold, serving.record_columns(cold), F.desc("msg_id"))
     return hot.select(*columns, F.lit("hot").alias("tier")).unionByName(
         cold.select(*columns, F.lit("history").alias("tier")))

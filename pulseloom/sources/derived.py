@@ -89,19 +89,10 @@ def from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Use every core when the input comes in fewer splits than there are cores.
-
-    A small or single-row-group file is one split. Large inputs have many and are left
-    alone, so this adds no shuffle there.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of the event table, dealt out by id: one file may be a single split."""
     events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id")
-    return from_events(spread(events, "event_id"))
+    return from_events(events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id"))
 
 
 def raw_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,35 +26,45 @@ def _write(df: DataFrame, root: str, view: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/{view}/batch_id={batch_id}")
 
 
-def _unique(valid: DataFrame, root: str, batch_id: int, method: str, seconds: int) -> DataFrame:
+def _unique(valid: DataFrame, root: str, batch_id: int, method: str, seconds: int, watermark: int) -> DataFrame:
     """Valid rows that pass deduplication; saves what the next batch must know."""
     spark = valid.sparkSession
     seen = sinks.read_snapshot(spark, root, PASSES, before=batch_id)
     passed = dedup.continued(valid, seen, method, seconds=seconds).persist(StorageLevel.DISK_ONLY)
     keys = dedup.key_columns(valid)
-    marks = passed.select(*keys, "timestamp")
+    marks = passed.select(*keys, "timestamp", "received_ts")
     if seen is not None:
         marks = marks.unionByName(seen)
-    now = marks.agg(F.max("timestamp")).scalar()
-    _write(dedup.recent(marks, now, keys, seconds=seconds), root, PASSES, batch_id)
+    now = marks.agg(F.max("received_ts")).scalar()
+    try:
+        _write(dedup.recent(marks, now, keys, seconds=seconds, watermark=watermark), root, PASSES, batch_id)
+        sinks.trim(spark, root, PASSES, batch_id)
+    except Exception:
+        passed.unpersist()
+        raise
     return passed
 
 
 def write_batch(raw: DataFrame, batch_id: int, root: str, profile: str = "typed",
                 method: str | None = "throttle", seconds: int = dedup.SECONDS,
-                ttl: int = serving.TTL, cap: int = serving.CAP, **parse_options) -> None:
-    """All sinks of one micro-batch."""
+                ttl: int = serving.TTL, cap: int = serving.CAP, watermark: int = dedup.WATERMARK,
+                order: str = "event", **parse_options) -> None:
+    """All sinks of one micro-batch.
+
+    A repeat is found up to ``watermark`` seconds of arrival after the row it repeats;
+    ``order`` is that of the latest records (``event`` or ``arrival``).
+    """
     parsed = parse.parse(raw, profile, **parse_options).persist(StorageLevel.DISK_ONLY)
     passed = None
     try:
         valid = parsed.filter(~F.col("route").isin(parse.INVALID, parse.DROPPED)).drop("payload", "reasons")
         if method is not None:
-            valid = passed = _unique(valid, root, batch_id, method, seconds)
+            valid = passed = _unique(valid, root, batch_id, method, seconds, watermark)
         sinks.write_history(valid, root, batch_id, profile)
         sinks.write_rejects(parsed, root, batch_id, profile)
         serving_failed = 0
         try:
-            sinks.write_serving(valid.drop("route"), root, batch_id, ttl, cap)
+            sinks.write_serving(valid.drop("route"), root, batch_id, ttl, cap, order=order)
         except Exception:  # hot views never stop the pipeline
             log.exception("hot views of batch %s not written", batch_id)
             serving_failed = 1

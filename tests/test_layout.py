@@ -70,6 +70,6 @@ def test_stamped_payload(spark):
 
 
 def test_topics(spark):
-    df = spark.createDataFrame([("UWB/GWTEST_Health",), ("UWB/a_b_Loca",), ("x/GW_Health",)], "topic string")
+    df = spark.createDataFrame([("UWB/GWn4_Health",), ("UWB/a_b_Loca",), ("x/GW_Health",)], "topic string")
     got = [(r.topic_gateway, r.topic_kind) for r in raw_source.split_topic(df).collect()]
-    assert got == [("GWTEST", "Health"), ("a_b", "Loca"), ("", "")]
+    assert got == [("GWn4", "Health"), ("a_b", "Loca"), ("", "")]

@@ -118,6 +118,28 @@ def test_tiers_do_not_overlap(spark):
     assert ids(got.filter("tier = 'hot'")) == [8, 9, 10, 11]
 
 
+def test_tiers_at_the_cap(spark):
+    """What a full series has lost comes from history, and nothing twice."""
+    df = writes(spark, *[(s, "d", "g") for s in range(1000)], *[(s, "few", "g") for s in (0, 500)])
+    hot = serving.series(df, 10, ttl=3600, as_of=at(999))
+    got = lookups.tiered_range(hot, df, at(0), at(999), cap=10)
+    assert ids(got) == list(range(1002))
+    assert got.filter("tier = 'hot' AND device_id = 'd'").count() == 9
+
+
+def test_wrong_clock_leaves_others_alone(spark, tmp_path):
+    """A record dated 2099 moves no other device's life; silence counts by arrival."""
+    df = writes(spark, (0, "a", "g"), (10, "b", "g"), (20, "a", "h"), (30, "c", "g"))
+    wrong = df.withColumn("timestamp", F.when(F.col("device_id") == "c", F.lit(dt.datetime(2099, 1, 1))).otherwise(
+        F.col("timestamp")))
+    for batch, some in enumerate((wrong.filter("msg_id < 2"), wrong.filter("msg_id >= 2"))):
+        sinks.write_serving(some, str(tmp_path), batch)
+    latest, series = (sinks.read_snapshot(spark, str(tmp_path), v) for v in ("latest", "series"))
+    assert ids(latest) == [1, 2, 3] and ids(series) == [0, 1, 2, 3]
+    sinks.write_serving(writes(spark, (4000, "a", "g")), str(tmp_path), 2)
+    assert sinks.read_snapshot(spark, str(tmp_path), "latest").count() == 1
+
+
 def test_push_in_flushes(spark, tmp_path):
     """Flushes of 100, a shorter last one, and a failing flush is skipped."""
     folder = str(tmp_path)

@@ -1,6 +1,7 @@
 """Streaming jobs over several files against the batch result."""
 
 import datetime as dt
+import json
 import subprocess
 import sys
 
@@ -110,6 +111,24 @@ def test_retried_batch_changes_nothing(spark, raw, tmp_path):
     assert counts() == before
 
 
+def test_devices_with_different_clocks(spark, tmp_path):
+    """A repeat is found although another device's clock is ahead of its own; state stays small."""
+    start = dt.datetime(2025, 1, 1)
+
+    def batch(number, *rows):
+        data = [(i, start + dt.timedelta(seconds=60 * number), json.dumps(
+            {"content": "300B", "gateway id": "g", "MAC": mac, "hr": 70, "timestamp": 1735689600000 + ms}))
+            for i, mac, ms in rows]
+        pipeline.write_batch(spark.createDataFrame(data, raw_source.RAW_SCHEMA), number, str(tmp_path))
+
+    batch(0, (1, "ahead", 10_000), (2, "behind", 0))
+    batch(1, (3, "behind", 2_000))
+    batch(2, (4, "behind", 6_000), (5, "ahead", 13_000))
+    stored = spark.read.parquet(f"{tmp_path}/vital_signs")
+    assert sorted(r.msg_id for r in stored.select("msg_id").collect()) == [1, 2, 4]
+    assert len(list((tmp_path / pipeline.PASSES).glob("batch_id=*"))) == 2
+
+
 def test_hot_failure_does_not_stop_history(spark, raw, tmp_path, monkeypatch):
     def fail(*args, **kwargs):
         raise RuntimeError("store is down")
