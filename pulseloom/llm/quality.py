@@ -170,6 +170,12 @@ def judge(docs: DataFrame, rules=RULES) -> DataFrame:
 
 
 def keep(docs: DataFrame, rules=RULES) -> DataFrame:
-    """The documents that pass, with all their columns."""
-    q = F.col("_quality")
-    return measures(docs).filter(~failed_base(q) & passes(q, rules)).drop("_quality")
+    """The documents that pass, with all their columns, whatever their names.
+
+    The one-element explode keeps Catalyst from pushing the filter below the projection,
+    which would copy every count into each place of the threshold table that names it.
+    """
+    q = F.col("_counts")
+    rows = measures(docs.select(F.struct("*").alias("_row"), "text"))
+    counted = rows.select("_row", F.explode(F.array("_quality")).alias("_counts"))
+    return counted.filter(~failed_base(q) & passes(q, rules)).select("_row.*")
