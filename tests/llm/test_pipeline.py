@@ -20,3 +20,16 @@ def test_stages(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert pieces.select("doc_id").distinct().count() == groups
     common.cleanup()
+
+
+def test_keep_with_clashing_names(spark):
+    """All columns of the documents come back, also those named like helpers; nulls and empty texts go."""
+    good = " ".join(f"the word{i} of a line that is{i} plain" for i in range(20))
+    rows = [(1, good, 7, "a"), (None, good, 8, "b"), (2, None, 9, "c"), (3, "", 9, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _quality int, _row string")
+    kept = quality.keep(docs)
+    assert kept.columns == docs.columns
+    verdicts = [r.kept for r in quality.judge(docs).collect()]
+    assert sorted(r._row for r in kept.collect()) == [r[3] for r, v in zip(rows, verdicts) if v]
+    assert not verdicts[2] and not verdicts[3]
+    assert quality.keep(docs.filter("false")).count() == 0
