@@ -67,36 +67,42 @@ def write(pages: DataFrame, folder: str, least: int = REVISIT_FROM) -> DataFrame
     """Write the archives; returns the manifest (path, records), staged.
 
     Of pages with equal payloads of at least ``least`` bytes the one with the largest id
-    is the response; rows that repeat id and payload are captured once each, all alike. A
-    null html is the empty payload; a null id counts as smallest; a null url is ``urn:none``.
+    is the response; rows that repeat id and payload are captured once each, all alike, and
+    one of them, chosen before any is written, has the name the revisits know. A null html is the empty payload; a null id counts as smallest; a null url is ``urn:none``.
     """
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         html.alias("html"), F.octet_length(html).alias("length"), F.sha1(html.cast("binary")).alias("sha"))
     # one small row per payload that occurs twice; partial counts keep a hot payload apart
-    first = rows.filter(F.col("length") >= least).groupBy("sha").agg(
-        F.max("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    first = common.staged(rows.filter(F.col("length") >= least).groupBy("sha", "page_id").agg(
+        F.count("*").alias("rows")).groupBy("sha").agg(
+        F.max("page_id").alias("first"), F.max_by("rows", "page_id").alias("alike"),
+        F.sum("rows").alias("n")).filter("n > 1").drop("n"), f"{folder}/first")
     large = rows.filter(F.col("length") >= least).join(first, "sha", "left")
     repeat = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     large = large.withColumn("revisit", repeat).withColumn("html", F.when(~repeat, F.col("html")))
+    large = large.withColumn("referable", F.col("first").isNotNull() & ~repeat)
+    if not first.filter("alike > 1").isEmpty():
+        # rows alike may lie in different tasks: numbered and staged, the least number takes the name
+        alike = F.col("referable") & (F.col("alike") > 1)
+        numbered = common.staged(large.filter(alike).withColumn("number", F.monotonically_increasing_id()),
+                                 f"{folder}/alike")
+        named = numbered.groupBy("sha").agg(F.min("number").alias("named"))
+        numbered = numbered.join(named, "sha").withColumn("referable", F.col("number") == F.col("named"))
+        large = large.filter(~alike).unionByName(numbered.select(large.columns))
     small = rows.filter(F.col("length") < least).withColumns(
-        {"first": F.lit(None).cast("long"), "revisit": F.lit(False)})
+        {"first": F.lit(None).cast("long"), "revisit": F.lit(False), "referable": F.lit(False)})
 
     def put(frames):
         out, size, records = io.BytesIO(), 0, 0
-        done: set[str] = set()
         for frame in frames:
-            for page, url, html, length, sha, first, revisit in zip(
+            for page, url, html, length, sha, first, revisit, referable in zip(
                     frame["page_id"].to_numpy(dtype=object), frame["url"], frame["html"], frame["length"],
-                    frame["sha"], frame["first"].to_numpy(dtype=object), frame["revisit"]):
+                    frame["sha"], frame["first"].to_numpy(dtype=object), frame["revisit"], frame["referable"]):
                 page, first = (None if pd.isna(x) else int(x) for x in (page, first))
                 payload = b"" if html is None else html.encode("utf-8", "surrogatepass")
                 digest = "sha1:" + base64.b32encode(bytes.fromhex(sha)).decode()
-                answers = first is not None and not revisit  # others may refer to it
-                name = name_of(page, sha) if answers else str(uuid.uuid4())
-                if name in done:  # a repeated row: a record of its own
-                    name = str(uuid.uuid4())
-                done.add(name) if answers else None
+                name = name_of(page, sha) if referable else str(uuid.uuid4())
                 target = f"<urn:uuid:{name_of(first, sha)}>" if revisit else None
                 size += out.write(capture(page, url, payload, int(length), digest, target, name))
                 records += 3
@@ -106,7 +112,7 @@ def write(pages: DataFrame, folder: str, least: int = REVISIT_FROM) -> DataFrame
         if records:
             yield _file(folder, out, records)
 
-    columns = ["page_id", "url", "html", "length", "sha", "first", "revisit"]
+    columns = ["page_id", "url", "html", "length", "sha", "first", "revisit", "referable"]
     files = large.select(columns).unionByName(small.select(columns)).mapInPandas(put, "path string, records long")
     return common.staged(files, f"{folder}/manifest")
 
