@@ -22,6 +22,7 @@ from pulseloom.llm import common
 KINDS = ("assign", "access", "hex", "ident", "secret", "endpoint")
 REACH = 400  # code points between complementary parts
 BIN = 1024
+LONGEST = 1024  # bytes of a bare secret; longer runs are embedded data
 
 _ASSIGN = re.compile(
     rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""")
@@ -29,7 +30,8 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{32,}")
 _IDENT = re.compile(rb"(?:ASIA|AROA|AIDA)[A-Z0-9]{12,}")
 _NAMED = re.compile(rb"""(?:client|account|access|tenant)[_-]?(?:key[_-]?)?id["']?\x20*[:=]\x20*["']?([a-z0-9-]{8,})""")
-_SECRET = re.compile(rb"(?<![A-Za-z0-9/+=])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=])")
+# a leading '=' is a delimiter (KEY=VALUE), up to two trailing ones are padding
+_SECRET = re.compile(rb"(?<![A-Za-z0-9/+_-])[A-Za-z0-9/+_-]{32,}+={0,2}(?![A-Za-z0-9/+_=-])")
 _ENDPOINT = re.compile(rb"""https?://[^\x00-\x20"'<>]+""")
 
 
@@ -46,7 +48,7 @@ def find(text: str) -> tuple[list[tuple], list[tuple]]:
     weak = [("ident", m.start(), m.end()) for m in _IDENT.finditer(raw)]
     weak += [("ident", *m.span(1)) for m in _NAMED.finditer(low)]
     weak += [("secret", m.start(), m.end()) for m in _SECRET.finditer(raw)
-             if re.search(rb"[0-9]", m[0]) and re.search(rb"[A-Z]", m[0]) and re.search(rb"[a-z]", m[0])]
+             if len(m[0]) <= LONGEST and re.search(rb"[0-9]", m[0]) and re.search(rb"[A-Z]", m[0]) and re.search(rb"[a-z]", m[0])]
     weak += [("endpoint", m.start(), m.end()) for m in _ENDPOINT.finditer(raw)]
     if len(raw) != len(text) and (base or weak):
         marks = sorted({p for _, s, e in base + weak for p in (s, e)})
@@ -182,7 +184,7 @@ def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
     key = F.sha2(F.col(text_col), 256)
     # the patterns of weak parts: texts without any skip the join
     weak = F.coalesce(F.col(text_col), F.lit("")).rlike(
-        r"ASIA|AROA|AIDA|(?i:id[\"']?\x20*[:=])|https?://|[A-Za-z0-9/+]{40}")
+        r"ASIA|AROA|AIDA|(?i:id[\"']?\x20*[:=])|https?://|[A-Za-z0-9/+_-]{32}")
     some = docs.filter(weak).withColumn("_key", key).join(by_text, "_key", "left").drop("_key")
     rest = docs.filter(~weak).withColumn("_more", F.lit(None).cast("array<struct<start:int,end:int>>"))
     both = rest.unionByName(some).withColumn(text_col, _masked(F.col(text_col), F.col("_more"))).drop("_more")
