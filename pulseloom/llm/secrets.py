@@ -105,11 +105,12 @@ def _scopes(parts: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
 
 
 def _inside(parts: DataFrame, scopes: DataFrame) -> DataFrame:
-    """Interval join: the parts that begin inside a scope."""
-    p, s = parts.withColumn("bin", F.floor(F.col("start") / BIN)).alias("p"), scopes.alias("s")
+    """Interval join: the parts that overlap a scope, so of two parts each reaches the other or neither does."""
+    bins = F.explode(F.sequence(F.floor(F.col("start") / BIN), F.floor(F.col("end") / BIN)))
+    p, s = parts.withColumn("bin", bins).alias("p"), scopes.alias("s")
     held = ((F.col("p.text_key") == F.col("s.text_key")) & (F.col("p.bin") == F.col("s.bin"))
-            & F.col("p.start").between(F.col("s.lo"), F.col("s.hi")))
-    return p.join(s, held, "left_semi").drop("bin")
+            & (F.col("p.start") <= F.col("s.hi")) & (F.col("p.end") >= F.col("s.lo")))
+    return p.join(s, held, "left_semi").drop("bin").distinct()
 
 
 def linked(scanned: DataFrame) -> DataFrame:
