@@ -55,7 +55,7 @@ def shingles(numbers: np.ndarray, lengths: np.ndarray, hashes: np.ndarray) -> tu
     with np.errstate(over="ignore"):
         value = np.zeros(max(total - SIZE + 1, 0), _U)
         for k in range(SIZE):
-            value += h[k:total - SIZE + 1 + k] * _MIX[k]
+            value += h[k:k + len(value)] * _MIX[k]
         fits = np.arange(len(value)) + SIZE <= ends[doc[:len(value)]]
         value, doc = mix(value[fits]), doc[:len(value)][fits]
         short = np.flatnonzero((lengths > 0) & (lengths < SIZE))
