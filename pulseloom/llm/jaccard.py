@@ -32,6 +32,7 @@ PER_CLASS = 16  # shingles of a set for one class of frequent ones
 ROUNDS = 2  # times that candidates meet hubs
 LIGHT = 12  # sets of a signature up to which pairs are rows
 BLOCK = 128  # sets compared at once
+CELLS = 1 << 22  # shingle cells of one range of the frequency shuffle, about
 
 _U = np.uint64
 _MIX = [_U(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -156,6 +157,11 @@ def _cells(bits: int, ranges: int):
     return run
 
 
+def spread(total: int, partitions: int) -> int:
+    """Ranges for so many shingles: a group of a range is gathered whole, so its size is bounded."""
+    return max(partitions, -(-total // CELLS))
+
+
 def _classes(frame: pd.DataFrame) -> pd.DataFrame:
     """Class of every cell of a range, for each batch: 0 in one document, 1 rare, 2 frequent."""
     own = [np.cumsum(_unplanes(x, _U), dtype=_U) for x in frame["cells"]]
@@ -388,7 +394,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     component but themselves.
     """
     spark = docs.sparkSession
-    folder, ranges = common.run_dir(spark, "jaccard"), common.partitions(spark)
+    folder, n = common.run_dir(spark, "jaccard"), common.partitions(spark)
     keyed = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("key", F.xxhash64("text"))
     rows = common.staged(keyed.select("doc_id", "key", "text").mapInPandas(_cut(folder), _ROWS), f"{folder}/rows")
     same = ["fp1", "fp2", "n_shingles"]
@@ -399,13 +405,14 @@ def grouped(docs: DataFrame) -> DataFrame:
         f"{folder}/reps")
     total = reps.agg(F.sum("n_shingles")).first()[0] or 1
     bits = min(64, max(30, int(total).bit_length() + 5))
+    ranges = spread(int(total), n)
     by_batch = reps.select("uid", "path", F.shiftright("uid", 22).alias("batch"))
     # a few rows that stand for much work: dealt out by number, not by size
-    asked = common.staged(by_batch.repartition(ranges, "batch").groupBy("batch").applyInPandas(_cells(bits, ranges), _CELLS), f"{folder}/cells")
-    told = asked.filter("range >= 0").repartition(ranges, "range").groupBy("range").applyInPandas(
+    asked = common.staged(by_batch.repartition(n, "batch").groupBy("batch").applyInPandas(_cells(bits, ranges), _CELLS), f"{folder}/cells")
+    told = asked.filter("range >= 0").repartition(n, "range").groupBy("range").applyInPandas(
         _classes, "range int, batch long, path string, cells binary")
     whole = told.unionByName(asked.filter("range < 0").select("range", "batch", "path", "cells"))
-    signed = common.staged(whole.repartition(ranges, "batch").groupBy("batch").applyInPandas(_sign(bits, ranges), _SIGNED), f"{folder}/signed")
+    signed = common.staged(whole.repartition(n, "batch").groupBy("batch").applyInPandas(_sign(bits, ranges), _SIGNED), f"{folder}/signed")
     labels = components(signed, folder)
     placed = reps.join(labels, "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
     least = placed.groupBy("comp").agg(F.min(F.struct("doc_id", "key")).alias("first"))
