@@ -102,13 +102,15 @@ def test_batches_continue(spark, method, rule):
     seen, got = None, set()
     for part in range(0, 40, 7):
         df = spark.createDataFrame(rows[part:part + 7], SCHEMA).withColumnRenamed("k", "mac").withColumns(
-            {"message_type": F.lit("VITAL_SIGN"), "gateway_id": F.lit("g")})
+            {"message_type": F.lit("VITAL_SIGN"), "gateway_id": F.lit("g"),
+             # messages arrive behind their own time, not all equally late
+             "received_ts": F.col("timestamp") + F.make_dt_interval(secs=20 + F.col("msg_id") % 3)})
         keys = dedup.key_columns(df)
         passed = dedup.continued(df, seen, method)
         got |= ids(passed)
-        marks = passed.select(*keys, "timestamp")
+        marks = passed.select(*keys, "timestamp", "received_ts")
         marks = marks if seen is None else marks.unionByName(seen)
-        now = F.lit(rows[min(part + 6, 39)][2])
+        now = df.agg(F.max("received_ts")).scalar()
         seen = spark.createDataFrame(dedup.recent(marks, now, keys).collect(), marks.schema)
     assert got == rule(rows)
 
