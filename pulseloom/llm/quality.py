@@ -155,14 +155,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v"""
 
 
+def _counted(docs: DataFrame, *columns) -> DataFrame:
+    """The columns and struct ``_counts`` behind a fence.
+
+    The one-element explode keeps Catalyst from pushing a filter on the verdict below the
+    projection, which would copy every count into each place of the threshold table that
+    names it.
+    """
+    return measures(docs.select(*columns, "text")).select(
+        *[c if isinstance(c, str) else "_row" for c in columns], F.explode(F.array("_quality")).alias("_counts"))
+
+
 def judge(docs: DataFrame, rules=RULES) -> DataFrame:
     """Counts and verdict of every document, one row per input row.
 
     A null or empty text has no words and fails the base rule. Ids may be null or repeat;
     other columns are ignored; an empty table gives no rows.
     """
-    q = F.col("_quality")
-    return measures(docs.select("doc_id", "text")).select(
+    q = F.col("_counts")
+    return _counted(docs, "doc_id").select(
         "doc_id", q["n_words"].alias("n_words"), q["word_chars"].alias("word_chars"),
         q["n_symbols"].alias("n_symbols"), q["n_dup_lines"].alias("n_dup_lines"),
         q["n_repeat_words"].alias("n_repeat_words"), failed_base(q).alias("base_failed"),
@@ -170,12 +181,7 @@ def judge(docs: DataFrame, rules=RULES) -> DataFrame:
 
 
 def keep(docs: DataFrame, rules=RULES) -> DataFrame:
-    """The documents that pass, with all their columns, whatever their names.
-
-    The one-element explode keeps Catalyst from pushing the filter below the projection,
-    which would copy every count into each place of the threshold table that names it.
-    """
+    """The documents that pass, with all their columns, whatever their names."""
     q = F.col("_counts")
-    rows = measures(docs.select(F.struct("*").alias("_row"), "text"))
-    counted = rows.select("_row", F.explode(F.array("_quality")).alias("_counts"))
+    counted = _counted(docs, F.struct("*").alias("_row"))
     return counted.filter(~failed_base(q) & passes(q, rules)).select("_row.*")
