@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -22,8 +23,44 @@ END = 0
 
 def lengths(n: int, longest: int = SEQUENCE) -> list[int]:
     """Binary decomposition, longest first: 2500 gives 1024, 1024, 256, 128, 64, 4."""
-    rest = n % longest
-    return [longest] * (n // longest) + [1 << b for b in range(longest.bit_length() - 2, -1, -1) if rest >> b & 1]
+    return decompose(np.array([n]), longest)[1].tolist()
+
+
+def decompose(totals: np.ndarray, longest: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
+    """Of documents of so many tokens: each piece's document and length, in order of the text."""
+    whole, rest = np.divmod(totals, longest)
+    docs, sizes = [np.repeat(np.arange(len(totals)), whole)], [np.full(int(whole.sum()), longest, np.int64)]
+    for b in range(longest.bit_length() - 2, -1, -1):
+        has = np.flatnonzero(rest >> b & 1)
+        docs.append(has)
+        sizes.append(np.full(len(has), 1 << b, np.int64))
+    doc, size = np.concatenate(docs), np.concatenate(sizes)
+    order = np.argsort(doc, kind="stable")
+    return doc[order], size[order]
+
+
+def _pieces(part: int, count: dict, ids: list, found: list[bytes], longest: int) -> pa.RecordBatch:
+    """The pieces of some documents as one Arrow batch over one buffer of their ids."""
+    totals = np.array([len(x) // 4 for x in found], np.int64)
+    doc, size = decompose(totals, longest)
+    data = b"".join(found)
+    ends = np.cumsum(size)
+    nth = np.empty(len(size), np.int64)
+    for length in np.unique(size).tolist():
+        same = np.flatnonzero(size == length)
+        nth[same] = count.get(length, 0) + np.arange(len(same))
+        count[length] = count.get(length, 0) + len(same)
+    edges = np.concatenate([[0], 4 * ends])
+    view, cuts = memoryview(data), edges.tolist()
+    crc = [zlib.crc32(view[a:b]) for a, b in zip(cuts, cuts[1:])]
+    packed = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(edges.astype(np.int32)),
+                                                            pa.py_buffer(data)])
+    start = ends - size - (np.cumsum(totals) - totals)[doc]
+    names = pa.array([None if pd.isna(i) else int(i) for i in ids], pa.int64()).take(pa.array(doc))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(size), part, np.int32)), pa.array(nth), names, pa.array(start), pa.array(totals[doc]),
+         packed, pa.array(crc, pa.int64()), pa.array(size.astype(np.int32))],
+        names=["part", "nth", "doc_id", "start", "doc_tokens", "ids", "ids_crc32", "length"])
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.json", longest: int = SEQUENCE,
@@ -34,27 +71,16 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.json", lo
     doc_tokens, ids (packed 32-bit), ids_crc32 and length.
     """
 
-    def cut(frames):
+    def cut(arrived):
         part, count, encoder = TaskContext.get().partitionId(), {}, words.Encoder(tokenizer)
         tail = np.array([end], "<u4").tobytes()
+        frames = (batch.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get) for batch in arrived)
         for ids, texts in common.batches(frames, 4 << 20):
-            rows = []
-            for doc_id, packed in zip(ids, encoder.encode(texts)):
-                packed += tail
-                start, total = 0, len(packed) // 4
-                for length in lengths(total, longest):
-                    piece = packed[4 * start:4 * (start + length)]
-                    nth = count.get(length, 0)
-                    count[length] = nth + 1
-                    rows.append((part, nth, doc_id, start, total, piece, zlib.crc32(piece), length))
-                    start += length
-            frame = pd.DataFrame(rows, columns=["part", "nth", "doc_id", "start", "doc_tokens", "ids", "ids_crc32",
-                                                "length"])
-            yield frame.astype({"doc_id": "Int64"})
+            yield _pieces(part, count, ids, [packed + tail for packed in encoder.encode(texts)], longest)
 
     rows = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    pieces = rows.mapInPandas(cut, "part int, nth long, doc_id long, start long, doc_tokens long, ids binary, "
-                                   "ids_crc32 long, length int")
+    pieces = rows.mapInArrow(cut, "part int, nth long, doc_id long, start long, doc_tokens long, ids binary, "
+                                  "ids_crc32 long, length int")
     pieces.write.partitionBy("length").parquet(f"{folder}/pieces")
     return docs.sparkSession.read.schema(pieces.schema).parquet(f"{folder}/pieces")
 

@@ -17,6 +17,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -83,13 +85,6 @@ def chunks(text: str) -> list[str] | None:
 _CONTROL = re.compile("[\x1c-\x1f\x85\0]")
 
 
-def bare_chunks(text: str) -> list[str] | None:
-    """The same for tokenizers that drop white space: it may be of any kind and number."""
-    if _CONTROL.search(text):
-        return None
-    return text.split()
-
-
 def plain(chunk: str) -> str | None:
     """What a chunk stands for in the text, or None if it holds other white space."""
     body = chunk[1:] if chunk[0] in "\n" + START else chunk
@@ -109,7 +104,8 @@ class Encoder:
     The memory of a worker is bounded: a full table of chunks is emptied.
     """
 
-    MOST = 800_000
+    MOST = 1_200_000
+    JOINED = 250  # texts that one call of the library takes joined
 
     def __init__(self, name: str):
         self.name, self.tokenizer = name, load_json(name)
@@ -118,22 +114,54 @@ class Encoder:
         self.mark_id, self.mark = (special[0][0], special[0][1].content) if special else (None, None)
         # white space that the tokenizer drops leaves nothing to tell by where it was
         self.bare = self._ids([" a\n"]) == self._ids(["a"])
-        self.cut = bare_chunks if self.bare else chunks
+        # tokens that begin with a space: among words after single spaces each begins a word
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.begins[[i for piece, i in vocabulary.items() if piece.startswith("\u0120")]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _words(self, texts: list[str]) -> list[bytes]:
+        """Words that each begin with their only white space, a space, in few calls."""
+        out: list[bytes] = []
+        for at in range(0, len(texts), self.JOINED):
+            part = texts[at:at + self.JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * np.flatnonzero(self.begins[ids])).tolist()
+            if len(cuts) != len(part):
+                out += self._ids(part)
+                continue
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
+        return out
+
     def _many(self, texts: list[str]) -> list[bytes]:
-        """Short texts in few calls: a special token between two of them cuts the ids again."""
+        """Short texts in few calls."""
+        if self.bare:
+            return self._marked(texts)
+        spaced = [i for i, t in enumerate(texts) if t[:1] == " " and "<" not in t]
+        if len(spaced) == len(texts):
+            return self._words(texts)
+        out: list = [None] * len(texts)
+        for i, x in zip(spaced, self._words([texts[i] for i in spaced])):
+            out[i] = x
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self._marked([texts[i] for i in rest])):
+            out[i] = x
+        return out
+
+    def _marked(self, texts: list[str]) -> list[bytes]:
+        """A special token between two texts cuts the ids again."""
         mark = self.mark
         if mark is None:
             return self._ids(texts)
         odd = {i for i, t in enumerate(texts) if "<" in t or not t}
         even = [t for i, t in enumerate(texts) if i not in odd] if odd else texts
         out: list[bytes] = []
-        for at in range(0, len(even), 1000):
-            part = even[at:at + 1000]
+        for at in range(0, len(even), self.JOINED):
+            part = even[at:at + self.JOINED]
             ids = np.array(self.tokenizer.encode_batch_fast([mark.join(part)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(ids == self.mark_id)
             data = ids.tobytes()
@@ -160,7 +188,7 @@ class Encoder:
                 single.add(tail)
         fine, shown = [], []
         for c in single:
-            text = c if self.bare else plain(c)
+            text = c if self.bare else plain(c) if c.strip(START + "\n") else None
             if text is None:
                 known[c] = None
             else:
@@ -182,25 +210,40 @@ class Encoder:
                 gc.enable()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) if t else [] for t in texts]
-        wanted = set()
-        for parts in cut:
-            if parts:
-                wanted.update(parts)
-        if len(self.known) + len(wanted) > self.MOST:
+        split, whole = self._split(texts)
+        flat = split.flatten().dictionary_encode()
+        distinct, number = flat.dictionary.to_pylist(), flat.indices.to_numpy()
+        if len(self.known) + len(distinct) > self.MOST:
             self.known.clear()
-        self._learn([c for c in wanted if c not in self.known])
-        look, out, rest = self.known.__getitem__, [], []
-        for i, parts in enumerate(cut):
-            try:
-                out.append(b"".join(map(look, parts)))
-            except TypeError:  # not cut, or a chunk that must not be
-                out.append(None)
-                rest.append(i)
+        self._learn([c for c in distinct if c not in self.known])
+        found = [self.known[c] for c in distinct]
+        missing = np.array([x is None for x in found], bool)
+        found = [x or b"" for x in found]
+        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        each = sizes[number]
+        ends = np.cumsum(each)
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(begins[number] - ends + each, each) + np.arange(each.sum())]
+        edges = split.offsets.to_numpy()
+        bad = np.concatenate([[0], np.cumsum(missing[number])])
+        whole |= bad[edges[1:]] > bad[edges[:-1]]
+        cuts = (4 * np.concatenate([[0], ends])[edges]).tolist()
+        data = ids.tobytes()
+        out = [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        rest = np.flatnonzero(whole).tolist()
         for i, x in zip(rest, self._ids([texts[i] for i in rest])):
             out[i] = x
         return out
 
+    def _split(self, texts: list[str]) -> tuple[pa.ListArray, np.ndarray]:
+        """The chunks of every text (see ``chunks``), and which texts must be encoded whole."""
+        if self.bare:
+            whole = np.array([_CONTROL.search(t) is not None for t in texts], bool)
+            return pc.utf8_split_whitespace(pa.array(texts, pa.string())), whole
+        whole = np.array([START in t for t in texts], bool)
+        marked = pa.array([START + t.replace("\n", " \n") if t else None for t in texts], pa.string())
+        return pc.split_pattern(marked, " "), whole
+
 
 class Batch:
     """Documents as sequences of numbers of their distinct words."""
