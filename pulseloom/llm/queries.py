@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulseloom.llm import (byte_bpe, common, counting, jaccard, neighbours, packing, quality, secrets, sharding,
+from pulseloom.llm import (alignment, byte_bpe, common, counting, jaccard, neighbours, packing, quality, secrets, sharding,
                            token_files, warc)
 
 QUERIES, SQL = {}, {}
@@ -65,6 +65,11 @@ def op10_vantage_trees(spark, sf_dir):
     return neighbours.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op11_token_alignment(spark, sf_dir):
+    return alignment.report(common.documents(spark, sf_dir))
+
+
 SQL["op2_quality_rules"] = quality.as_sql()
 SQL["op8_warc_transactions"] = """
 WITH p AS (
