@@ -125,10 +125,19 @@ class Pair:
                     upto_b[first] != before_b + 1).any():
                 return False
             first = first + 1
-        lead_a, lead_b = np.concatenate([[0], upto_a]), np.concatenate([[0], upto_b])
-        for c, x, y in zip(part, first.tolist(), (group + 1).tolist()):
-            self.known[c] = _packed(a[lead_a[x]:lead_a[y]], b[lead_b[x]:lead_b[y]],
-                                    lead_a[x + 1:y + 1] - lead_a[x], lead_b[x + 1:y + 1] - lead_b[x])
+        lead_a, lead_b, last = np.concatenate([[0], upto_a]), np.concatenate([[0], upto_b]), group + 1
+        n_a, n_b, n = lead_a[last] - lead_a[first], lead_b[last] - lead_b[first], last - first
+        sizes = 3 + n_a + n_b + 2 * n
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        at, data = edges[:-1].copy(), np.empty(edges[-1], "<u4")
+        data[at], data[at + 1], data[at + 2] = n_a, n_b, n
+        at += 3
+        for values, begins, width in ((a, lead_a[first], n_a), (b, lead_b[first], n_b),
+                                      (np.diff(lead_a), first, n), (np.diff(lead_b), first, n)):
+            data[_ranges(at, width)] = values[_ranges(begins, width)]
+            at += width
+        packed, cuts = data.tobytes(), (4 * edges).tolist()
+        self.known.update(zip(part, [packed[x:y] for x, y in zip(cuts, cuts[1:])]))
         return True
 
 
@@ -167,16 +176,17 @@ class Aligned:
         edges = split.offsets.to_numpy()
         bad = np.concatenate([[0], np.cumsum(missing[number])])
         whole = np.flatnonzero(bad[edges[1:]] > bad[edges[:-1]])
-        sequences = {i: number[edges[i]:edges[i + 1]] for i in range(len(texts))}
+        sequences = np.split(number.astype(np.int64), edges[1:-1])
         for i in whole.tolist():  # other white space: the text is aligned as one chunk
             found = pair.entry(texts[i])
             sequences[i] = np.array([] if found is None else [len(entries)], np.int64)
             if found is not None:
                 entries.append(found)
-        self.lengths = np.array([len(sequences[i]) for i in range(len(texts))], np.int64)
-        self.sequence = np.concatenate([*sequences.values(), np.array([], np.int64)]).astype(np.int64)
-        used, self.sequence = np.unique(self.sequence, return_inverse=True)
-        self._unpack([entries[i] for i in used.tolist()], pair)
+        self.lengths = np.array([len(x) for x in sequences], np.int64)
+        self.sequence = np.concatenate([*sequences, np.array([], np.int64)])
+        used = np.bincount(self.sequence, minlength=len(entries)) > 0
+        self.sequence = (np.cumsum(used) - 1)[self.sequence]
+        self._unpack([x for x, u in zip(entries, used.tolist()) if u], pair)
 
     def _unpack(self, entries: list[bytes], pair: Pair) -> None:
         data = np.frombuffer(b"".join(entries), "<u4").astype(np.int64)
