@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulseloom.llm import (alignment, byte_bpe, common, counting, jaccard, neighbours, packing, quality, secrets, sharding,
-                           token_files, warc)
+                           suffixes, token_files, warc)
 
 QUERIES, SQL = {}, {}
 
@@ -70,6 +70,11 @@ def op11_token_alignment(spark, sf_dir):
     return alignment.report(common.documents(spark, sf_dir))
 
 
+@query
+def op13_suffix_dedup(spark, sf_dir):
+    return suffixes.report(common.documents(spark, sf_dir))
+
+
 SQL["op2_quality_rules"] = quality.as_sql()
 SQL["op8_warc_transactions"] = """
 WITH p AS (
