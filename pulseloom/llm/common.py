@@ -34,9 +34,7 @@ def run_dir(spark: SparkSession, name: str) -> str:
 def cleanup() -> None:
     """Delete what this process staged; results that still read it become unreadable."""
     while _MADE:
-        fs, path = _open(_MADE.pop())
-        if fs.get_file_info(path).type == pafs.FileType.Directory:
-            fs.delete_dir(path)
+        discard(_MADE.pop())
 
 
 def staged(df: DataFrame, folder: str) -> DataFrame:
@@ -49,8 +47,19 @@ def staged(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def discard(folder: str) -> None:
+    """Delete a staged folder that nothing reads any more."""
+    fs, path = _open(folder)
+    if fs.get_file_info(path).type == pafs.FileType.Directory:
+        fs.delete_dir(path)
+
+
 def _open(uri: str):
-    return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    """File system and path of a plain path or a file, hdfs, gs, abfs(s), s3 or s3a address.
+
+    Spark's names of the object store are mapped to the one pyarrow knows.
+    """
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", uri)))
 
 
 def write_file(uri: str, data: bytes) -> None:

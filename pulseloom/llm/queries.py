@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulseloom.llm import (alignment, byte_bpe, common, counting, jaccard, neighbours, packing, quality, secrets, sharding,
+from pulseloom.llm import (alignment, byte_bpe, codes, common, counting, jaccard, neighbours, packing, quality, secrets, sharding,
                            suffixes, token_files, warc)
 
 QUERIES, SQL = {}, {}
@@ -70,6 +70,11 @@ def op11_token_alignment(spark, sf_dir):
     return alignment.report(common.documents(spark, sf_dir))
 
 
+@query
+def op12_vector_codes(spark, sf_dir):
+    return codes.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op13_suffix_dedup(spark, sf_dir):
     return suffixes.report(common.documents(spark, sf_dir))
