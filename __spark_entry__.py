@@ -13,12 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import oracles
+import replay
+import telemetry
 from pulseloom.functions import classify, derive, keys
 from pulseloom.operators import dedup, parse, serving, sinks, validate
 from pulseloom.plans import history, lookups, quality
 from pulseloom.session import configure
-from pulseloom.sources import derived, raw as raw_source
-from pulseloom.streaming import replay
+from pulseloom.sources import raw as raw_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -48,7 +49,7 @@ def query(fn: Query) -> Query:
 
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
-    return derived.raw_messages(spark, folder)
+    return telemetry.raw_messages(spark, folder)
 
 
 def _now(spark: SparkSession, folder: str) -> Column:
@@ -337,12 +338,12 @@ def dedup_flattened(spark, folder):
 
 @query
 def stream_tumbling(spark, folder):
-    return _short(replay.deduplicated(spark, folder, "tumbling"))
+    return _short(replay.tumbled(spark, folder))
 
 
 @query
 def stream_throttle(spark, folder):
-    return _short(replay.deduplicated(spark, folder, "throttle"))
+    return _short(replay.throttled(spark, folder))
 
 
 @query

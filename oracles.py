@@ -321,10 +321,7 @@ def all_sql() -> dict[str, str]:
               PARTITION BY battery_level, gateway_id, heart_rate, sp_o2, bp_systolic, bp_diastolic, skin_temp,
                 room_temp, steps, time_bucket(INTERVAL '5 seconds', "timestamp")
               ORDER BY "timestamp", msg_id) = 1""",
-        # append mode keeps windows open that end after the newest valid record
-        "stream_tumbling": tumbled + f"""SELECT {_SHORT} FROM tumbled
-            WHERE time_bucket(INTERVAL '5 seconds', "timestamp") + INTERVAL '5 seconds'
-                <= (SELECT max("timestamp") FROM valid)""",
+        "stream_tumbling": tumbled + f"SELECT {_SHORT} FROM tumbled",
         "stream_throttle": throttled + f"SELECT {_SHORT} FROM throttled",
         "stream_pipeline": throttled + """SELECT route AS table_name, count(*) AS row_count FROM throttled
             GROUP BY route UNION ALL

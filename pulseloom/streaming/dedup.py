@@ -22,19 +22,28 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def tumbling(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "timestamp",
              order: str = "msg_id", seconds: int = dedup.SECONDS,
-             watermark: str = "10 seconds") -> DataFrame:
+             watermark: str = "10 seconds", clock: DataFrame | None = None) -> DataFrame:
     """First row per key and window, sent when the watermark closes the window.
 
     An aggregation rather than ``dropDuplicates``: it promises the earliest row, and it
     combines rows of a key before the exchange.
+
+    Without new rows the watermark stands still and the newest windows stay open. ``clock``
+    is a stream of times (its first column) that moves the watermark on as well and gives
+    no rows: ``clocks.heartbeat`` closes the windows of an idle stream, ``clocks.ending``
+    those of an input that has ended.
     """
     keys = list(keys or dedup.key_columns(stream))
+    rows = stream.withColumn("_clock", F.lit(False))
+    if clock is not None:
+        ticks = clock.select(F.col(clock.columns[0]).cast("timestamp").alias(time), F.lit(True).alias("_clock"))
+        rows = rows.unionByName(ticks, allowMissingColumns=True)
     rest = [c for c in stream.columns if c not in keys]
     window = F.window(time, f"{seconds} seconds")
     first = (
-        stream.withWatermark(time, watermark).groupBy(*keys, window.alias("_window"))
-        .agg(F.min_by(F.struct(*rest), F.struct(time, order)).alias("_row"))
-    )
+        rows.withWatermark(time, watermark).groupBy(*keys, "_clock", window.alias("_window"))
+        .agg(F.min_by(F.struct(*rest), F.struct(time, order)).alias("_row"), F.max("_clock").alias("_tick"))
+    ).filter(~F.col("_tick"))  # on the result: below the watermark the filter would take the times out as well
     return first.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in stream.columns])
 
 

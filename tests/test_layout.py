@@ -5,10 +5,11 @@ import json
 
 from pyspark.sql import functions as F
 
+import telemetry
 from conftest import SMALL
 from pulseloom.operators import parse, sinks
 from pulseloom.plans import history
-from pulseloom.sources import derived, history as history_source, raw as raw_source
+from pulseloom.sources import history as history_source, raw as raw_source
 
 
 def plan_of(df):
@@ -17,7 +18,7 @@ def plan_of(df):
 
 def test_history_is_pruned_by_day(spark, tmp_path):
     root = str(tmp_path)
-    sinks.write_history(parse.typed(derived.raw_messages(spark, SMALL)), root)
+    sinks.write_history(parse.typed(telemetry.raw_messages(spark, SMALL)), root)
     start, end = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12)
     rows = history_source.read_history(spark, root, "vital_signs", start, end)
     plan = plan_of(rows)
@@ -37,7 +38,7 @@ def test_history_is_pruned_by_day(spark, tmp_path):
 
 def test_expire(spark, tmp_path):
     root = str(tmp_path)
-    sinks.write_history(parse.typed(derived.raw_messages(spark, SMALL)), root)
+    sinks.write_history(parse.typed(telemetry.raw_messages(spark, SMALL)), root)
     table = spark.read.parquet(f"{root}/vital_signs")
     as_of = dt.datetime(2024, 1, 30, 12)
     kept = sinks.retained(table, as_of, 7).count()

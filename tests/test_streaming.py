@@ -1,23 +1,28 @@
 """Streaming jobs over several files against the batch result."""
 
 import datetime as dt
+import glob
 import json
+import os
 import subprocess
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+import replay
+import telemetry
 from conftest import SMALL
 from pulseloom.operators import dedup, parse, serving, sinks
-from pulseloom.sources import derived, raw as raw_source
-from pulseloom.streaming import dedup as stream_dedup, pipeline
+from pulseloom.sources import raw as raw_source
+from pulseloom.streaming import clocks, dedup as stream_dedup, pipeline
 
 
 @pytest.fixture(scope="module")
 def raw(spark):
-    return derived.raw_messages(spark, SMALL).orderBy("received_ts", "msg_id").collect()
+    return telemetry.raw_messages(spark, SMALL).orderBy("received_ts", "msg_id").collect()
 
 
 @pytest.fixture(scope="module")
@@ -49,17 +54,51 @@ def run(df, tmp_path, name="out"):
 @pytest.mark.parametrize("method", ["tumbling", "throttle"])
 def test_stream_equals_batch(spark, folder, tmp_path, method):
     columns = ["msg_id", "message_type", "mac", "heart_rate", "timestamp"]
-    query = run(stream_dedup.METHODS[method](valid(stream(spark, folder))), tmp_path)
+    options = {"clock": clocks.ending(spark, str(tmp_path / "ending"))} if method == "tumbling" else {}
+    unique = stream_dedup.METHODS[method](valid(stream(spark, folder)), **options)
+    query = run(unique, tmp_path)
     assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 4
+    if method == "tumbling":  # the newest windows are open until the input is said to have ended
+        open_ = spark.read.parquet(str(tmp_path / "out")).count()
+        clocks.end(spark, str(tmp_path / "ending"))
+        run(unique, tmp_path)
+        assert spark.read.parquet(str(tmp_path / "out")).count() > open_
     batch = dedup.METHODS[method](valid(spark.read.schema(raw_source.RAW_SCHEMA).parquet(folder)))
-    if method == "tumbling":  # windows stay open until the watermark has passed them
-        newest = batch.agg(F.max("timestamp")).first()[0]
-        end = dedup.window_start("timestamp", 5) + F.expr("INTERVAL 5 SECONDS")
-        batch = batch.filter(end <= F.lit(newest - dt.timedelta(seconds=10)))
     got = spark.read.parquet(str(tmp_path / "out")).select(columns)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.select(columns).collect()))
 
 
+def test_files_out_of_order_lose_nothing(spark, tmp_path):
+    """Rows that jump between files by less than the watermark all take part, and every window closes."""
+    parts = replay.sliced(spark, SMALL, str(tmp_path))
+    times = [spark.read.parquet(f).agg(F.min("received_ts"), F.max("received_ts")).first()
+             for f in sorted(glob.glob(f"{parts}/*.parquet"), key=os.path.getmtime)]
+    assert len(times) == replay.SLICES and any(b[0] < a[1] for a, b in zip(times, times[1:]))
+    everything = valid(spark.read.schema(raw_source.RAW_SCHEMA).parquet(parts))
+    expected = sorted(r.msg_id for r in dedup.tumbling(everything).select("msg_id").collect())
+    assert sorted(r.msg_id for r in replay.tumbled(spark, SMALL).select("msg_id").collect()) == expected
+
+
+def test_idle_stream_closes_its_windows(spark, tmp_path):
+    """A heartbeat moves the watermark past the last rows although none follow; it gives no rows itself."""
+    source = str(tmp_path / "idle")
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(seconds=60)
+    schema = "msg_id bigint, mac string, timestamp timestamp"
+    spark.createDataFrame([(1, "a", now), (2, None, now)], schema).write.parquet(source)
+    rows = spark.readStream.schema(schema).parquet(source)
+    unique = stream_dedup.tumbling(rows, ["mac"], watermark="1 seconds", clock=clocks.heartbeat(spark, "20 seconds"))
+    query = unique.writeStream.format("memory").queryName("idle_rows").outputMode("append").option(
+        "checkpointLocation", str(tmp_path / "state")).start()
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if spark.table("idle_rows").count():
+                break
+        assert sorted(r.msg_id for r in spark.table("idle_rows").collect()) == [1, 2]
+    finally:
+        query.stop()
+
+
 def test_late_rows_are_counted(spark, tmp_path):
     source = tmp_path / "late"
     for second in (0, 100, 200, 1):
