@@ -8,6 +8,7 @@ subquery inside the plan.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,7 +20,7 @@ from pulseloom.functions import classify, derive, keys
 from pulseloom.operators import dedup, parse, serving, sinks, validate
 from pulseloom.plans import history, lookups, quality
 from pulseloom.session import configure
-from pulseloom.sources import raw as raw_source
+from pulseloom.sources import history as history_source, raw as raw_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -556,6 +557,45 @@ def newest_rows(spark, folder):
     return history.newest_rows(_diapers(spark, folder)).drop("received_ts")
 
 
+# --- questions over stored tables ---------------------------------------------
+
+def _stored(spark, folder, table, **back) -> tuple[DataFrame, object]:
+    """A stored history table from so long before the newest arrival on, and that arrival."""
+    now = _raw(spark, folder).agg(F.max("received_ts")).first()[0]
+    start = now and now - datetime.timedelta(**back)
+    return history_source.read_history(spark, replay.stored(spark, folder), table, start), now
+
+
+@query
+def stored_recent_vitals(spark, folder):
+    table, now = _stored(spark, folder, "vital_signs", hours=48)
+    return history.recent_vitals(table, now, hours=48)
+
+
+@query
+def stored_device_avg_hr(spark, folder):
+    table, now = _stored(spark, folder, "vital_signs", hours=48)
+    return history.device_avg_hr(table, now, hours=48)
+
+
+@query
+def stored_daily_vitals(spark, folder):
+    table, now = _stored(spark, folder, "vital_signs", days=10)
+    return history.daily_vitals(table, now, days=10)
+
+
+@query
+def stored_daily_diaper(spark, folder):
+    table, now = _stored(spark, folder, "diaper_status", days=10)
+    return _rounded(history.daily_diaper(table, now, days=10), "avg_humidity", "avg_temp")
+
+
+@query
+def stored_day_counts(spark, folder):
+    table = history_source.read_history(spark, replay.stored(spark, folder), "diaper_status")
+    return table.groupBy("event_date").agg(F.count("*").alias("row_count"))
+
+
 # --- message flow ------------------------------------------------------------
 
 @query

@@ -237,7 +237,7 @@ _STORED = "SELECT DISTINCT device_id FROM diapers, clock WHERE \"timestamp\" > n
 _WINDOW_END = "time_bucket(INTERVAL '5 seconds', received_ts) + INTERVAL '5 seconds'"
 
 
-def all_sql() -> dict[str, str]:
+def _own() -> dict[str, str]:
     raw, typed, lenient = f"WITH {RAW} ", f"WITH {TYPED} ", f"WITH {LENIENT} "
     tumbled = f"WITH {TYPED}{TUMBLED} "
     throttled = f"WITH RECURSIVE {TYPED}{_throttled('valid', _KEY, chr(34) + 'timestamp' + chr(34))} "
@@ -381,6 +381,8 @@ def all_sql() -> dict[str, str]:
             FROM vitals, clock WHERE CAST("timestamp" AS DATE) > CAST(now AS DATE) - 7 GROUP BY 1""",
         "recent_vitals": typed + f"""SELECT msg_id, device_id, heart_rate, sp_o2 AS spo2, "timestamp"
             FROM vitals, clock WHERE "timestamp" > now - INTERVAL '48 hours' {_NEWEST} LIMIT 100""",
+        "stored_day_counts": typed + """SELECT CAST("timestamp" AS DATE) AS event_date, count(*) AS row_count
+            FROM diapers GROUP BY 1""",
         "device_day_stats": f"WITH {TYPED}{TUMBLED} " + """SELECT device_id, count(*) AS count,
             avg(heart_rate) AS avg_hr, avg(sp_o2) AS avg_spo2 FROM tumbled, clock
             WHERE message_type = 'VITAL_SIGN' AND CAST("timestamp" AS DATE) = CAST(now AS DATE) GROUP BY device_id""",
@@ -442,3 +444,13 @@ def all_sql() -> dict[str, str]:
             ) SELECT window_start, messages, round(p50, 6) AS p50_ms, round(p99, 6) AS p99_ms, p99 > 1000 AS alert
               FROM ranks""",
     }
+
+
+# the same questions over stored tables instead of parsed messages
+_STORED = {"stored_recent_vitals": "recent_vitals", "stored_device_avg_hr": "device_avg_hr",
+           "stored_daily_vitals": "daily_vitals", "stored_daily_diaper": "daily_diaper"}
+
+
+def all_sql() -> dict[str, str]:
+    own = _own()
+    return own | {name: own[same] for name, same in _STORED.items()}

@@ -1,7 +1,7 @@
 """Writing history tables, dead letters and hot snapshots.
 
-Everything a batch writes goes to a folder named after the batch and replaces it, so
-a retried batch leaves the same files.
+History goes to tables with a commit list (``live``). Everything else a batch writes goes
+to a folder named after the batch and replaces it, so a retried batch leaves the same files.
 """
 
 from __future__ import annotations
@@ -9,20 +9,18 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import logging
-import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from pulseloom.functions.classify import DIAPER, VITAL, check_profile
-from pulseloom.operators import parse, serving
+from pulseloom.operators import live, parse, serving
 
 log = logging.getLogger(__name__)
 
 DEAD_LETTERS = "dead_letters"
 FLUSH_SIZE = 100
 RETENTION_DAYS = 30
-UNDATED = "event_date=__HIVE_DEFAULT_PARTITION__"  # the name Spark gives a null partition
 
 TABLE_COLUMNS = {
     "typed": {VITAL: parse.VITAL_COLUMNS, DIAPER: parse.DIAPER_COLUMNS},
@@ -30,24 +28,12 @@ TABLE_COLUMNS = {
 }
 
 
-def by_day(records: DataFrame, time: str = "timestamp") -> DataFrame:
-    """Add ``event_date`` and lay rows out for a partitioned write.
-
-    A rebalance instead of a repartition on the day: adaptive execution splits a day
-    that is too big for one task and merges days that are too small. Sorting by device
-    lets readers skip row groups.
-    """
-    day = records.withColumn("event_date", F.to_date(time))
-    return day.hint("rebalance", "event_date").sortWithinPartitions("event_date", "device_id", time)
-
-
-def write_history(parsed: DataFrame, root: str, batch_id: int = 0, profile: str = "typed") -> None:
-    """Append routed records to one day-partitioned table per message type."""
+def write_history(parsed: DataFrame, root: str, batch_id: int | None = None, profile: str = "typed",
+                  writer: str = "stream") -> None:
+    """Append routed records to one day-partitioned table per message type (see ``live``)."""
     for kind, columns in TABLE_COLUMNS[check_profile(profile)].items():
-        extra = ["msg_id", "received_ts"]
-        table = parse.records(parsed, kind, columns, *extra)
-        by_day(table).write.mode("overwrite").partitionBy("event_date").parquet(
-            f"{root}/{kind.table}/batch_id={batch_id}")
+        table = parse.records(parsed, kind, columns, "msg_id", "received_ts")
+        live.append(table, f"{root}/{kind.table}", batch_id, writer)
 
 
 def write_rejects(parsed: DataFrame, root: str, batch_id: int = 0, profile: str = "typed") -> None:
@@ -87,21 +73,17 @@ def expire(spark: SparkSession, root: str, table: str, as_of: dt.datetime,
            days: int = RETENTION_DAYS) -> list[str]:
     """Delete day partitions older than ``days``; returns the deleted days.
 
-    A folder of rows without a day goes when the newest of them arrived that long ago.
+    Rows without a day go together, when the newest of them arrived that long ago.
     """
-    oldest = as_of.date() - dt.timedelta(days=days)
-    gone = set()
-    for _, batch in _children(spark, f"{root}/{table}"):
-        for name, path in _children(spark, batch):
-            found = re.fullmatch(r"event_date=(\d{4}-\d{2}-\d{2})", name)
-            if found and dt.date.fromisoformat(found[1]) <= oldest:
-                _delete(spark, path)
-                gone.add(found[1])
-            elif name == UNDATED:
-                newest = spark.read.parquet(path).agg(F.max(F.to_date("received_ts"))).first()[0]
-                if newest is None or newest <= oldest:
-                    _delete(spark, path)
-                    gone.add(name.removeprefix("event_date="))
+    path, oldest = f"{root}/{table}", as_of.date() - dt.timedelta(days=days)
+    known = live.load(spark, path)["days"]
+    gone = [day for day in known if day != live.UNDATED and dt.date.fromisoformat(day) <= oldest]
+    if live.UNDATED in known:
+        undated = live.read(spark, path).filter(F.col("event_date").isNull())
+        newest = undated.agg(F.max(F.to_date("received_ts"))).first()[0]
+        if newest is None or newest <= oldest:
+            gone.append(live.UNDATED)
+    live.drop_days(spark, path, gone)
     return sorted(gone)
 
 

@@ -31,5 +31,7 @@ def prune(table: DataFrame, start: dt.datetime | Column | None = None,
 
 
 def read_history(spark: SparkSession, root: str, table: str, start=None, end=None) -> DataFrame:
-    """One history table, narrowed to a time range before any file is listed for reading."""
-    return prune(spark.read.parquet(f"{root}/{table}"), start, end)
+    """The live rows of one history table, narrowed to a time range before any file is listed."""
+    from pulseloom.operators import live  # which builds on this module
+
+    return live.read(spark, f"{root}/{table}", start, end)

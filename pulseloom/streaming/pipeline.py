@@ -48,11 +48,12 @@ def _unique(valid: DataFrame, root: str, batch_id: int, method: str, seconds: in
 def write_batch(raw: DataFrame, batch_id: int, root: str, profile: str = "typed",
                 method: str | None = "throttle", seconds: int = dedup.SECONDS,
                 ttl: int = serving.TTL, cap: int = serving.CAP, watermark: int = dedup.WATERMARK,
-                order: str = "event", **parse_options) -> None:
+                order: str = "event", writer: str = "stream", **parse_options) -> None:
     """All sinks of one micro-batch.
 
     A repeat is found up to ``watermark`` seconds of arrival after the row it repeats;
-    ``order`` is that of the latest records (``event`` or ``arrival``).
+    ``order`` is that of the latest records (``event`` or ``arrival``); ``writer`` names who
+    numbers the batches.
     """
     parsed = parse.parse(raw, profile, **parse_options).persist(StorageLevel.DISK_ONLY)
     passed = None
@@ -60,7 +61,7 @@ def write_batch(raw: DataFrame, batch_id: int, root: str, profile: str = "typed"
         valid = parsed.filter(~F.col("route").isin(parse.INVALID, parse.DROPPED)).drop("payload", "reasons")
         if method is not None:
             valid = passed = _unique(valid, root, batch_id, method, seconds, watermark)
-        sinks.write_history(valid, root, batch_id, profile)
+        sinks.write_history(valid, root, batch_id, profile, writer)
         sinks.write_rejects(parsed, root, batch_id, profile)
         serving_failed = 0
         try:
@@ -84,6 +85,7 @@ def run(raw_stream: DataFrame, root: str, checkpoint: str, profile: str = "typed
     """
     if profile == "lenient":
         options.setdefault("method", None)
+    options.setdefault("writer", checkpoint)  # a new checkpoint numbers its batches anew
 
     def batch(df: DataFrame, batch_id: int) -> None:
         write_batch(df, batch_id, root, profile, **options)

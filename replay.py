@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import telemetry
-from pulseloom.operators import parse, sinks
+from pulseloom.operators import live, parse, sinks
 from pulseloom.session import shared_dir
 from pulseloom.sources import raw
+from pulseloom.sources.history import read_history
 from pulseloom.streaming import clocks, dedup, pipeline
 
 SLICES = 4
@@ -79,6 +80,27 @@ def pipeline_counts(spark: SparkSession, folder: str, profile: str = "typed") ->
     names = [kind.table for kind in sinks.TABLE_COLUMNS[profile]] + [sinks.DEAD_LETTERS]
     counts = None
     for name in names:
-        rows = spark.read.parquet(f"{out}/tables/{name}").select(F.lit(name).alias("table_name"))
+        table = spark.read.parquet(f"{out}/tables/{name}") if name == sinks.DEAD_LETTERS else read_history(
+            spark, f"{out}/tables", name)
+        rows = table.select(F.lit(name).alias("table_name"))
         counts = rows if counts is None else counts.unionByName(rows)
     return counts.groupBy("table_name").agg(F.count("*").alias("row_count"))
+
+
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def stored(spark: SparkSession, folder: str) -> str:
+    """Root of history tables written in three batches and then compacted, once a session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STORES:
+        root = f"{_run_folder(spark)}/tables"
+        parsed = parse.typed(telemetry.raw_messages(spark, folder)).filter(F.col("route") != parse.INVALID)
+        parsed = parsed.drop("payload", "reasons")
+        for batch in range(3):
+            sinks.write_history(parsed.filter(F.pmod("msg_id", F.lit(3)) == batch), root, batch)
+        for kind in sinks.TABLE_COLUMNS["typed"]:
+            live.compact(spark, f"{root}/{kind.table}")
+            live.vacuum(spark, f"{root}/{kind.table}")
+        _STORES[key] = root
+    return _STORES[key]
