@@ -390,6 +390,18 @@ def hot_series_ttl(spark, folder):
         "msg_id", "message_type", "device_id", "timestamp", "position")
 
 
+@query
+def stream_hot_series(spark, folder):
+    rows = replay.keyed_series(spark, folder, 5, HALF_DAY, _now(spark, folder))
+    return rows.select("msg_id", "message_type", "device_id", "timestamp", "position")
+
+
+@query
+def stream_gateway_devices(spark, folder):
+    return replay.keyed_gateways(spark, folder, 3 * 3600, _now(spark, folder)).select(
+        "gateway_id", "device_id", "last_seen")
+
+
 @query
 def gateway_devices(spark, folder):
     return serving.gateway_index(_valid(spark, folder), _now(spark, folder), 3 * 3600).select(

@@ -17,6 +17,8 @@ REQUIRED = {
     # needed by transformWithState
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a batch writes its changes of the state, not the state
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

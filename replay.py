@@ -11,7 +11,7 @@ from pulseloom.operators import live, parse, sinks
 from pulseloom.session import shared_dir
 from pulseloom.sources import raw
 from pulseloom.sources.history import read_history
-from pulseloom.streaming import clocks, dedup, pipeline
+from pulseloom.streaming import clocks, dedup, hot, pipeline
 
 SLICES = 4
 DISORDER = 3500  # seconds that a message of the sliced files may be out of place
@@ -72,6 +72,27 @@ def tumbled(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(valid.schema).parquet(f"{out}/rows")
 
 
+def _records(spark: SparkSession, folder: str, out: str) -> DataFrame:
+    return _valid(raw.read_raw(spark, sliced(spark, folder, out), streaming=True, maxFilesPerTrigger="1"))
+
+
+def keyed_series(spark: SparkSession, folder: str, cap: int, ttl: int, as_of) -> DataFrame:
+    """Series kept as state over files out of order, read from that state."""
+    out = _run_folder(spark)
+    records = _records(spark, folder, out)
+    changes = hot.series(records, cap, ttl, watermark=f"{DISORDER} seconds", slack=2)
+    hot.start(changes, f"{out}/series", trigger={"availableNow": True}).awaitTermination()
+    return hot.series_view(spark, f"{out}/series", records, cap, ttl, as_of)
+
+
+def keyed_gateways(spark: SparkSession, folder: str, ttl: int, as_of) -> DataFrame:
+    """Gateway members kept as state over files out of order, read from that state."""
+    out = _run_folder(spark)
+    changes = hot.gateways(_records(spark, folder, out), ttl, watermark=f"{DISORDER} seconds")
+    hot.start(changes, f"{out}/gateways", trigger={"availableNow": True}).awaitTermination()
+    return hot.gateway_view(spark, f"{out}/gateways", ttl, as_of)
+
+
 def pipeline_counts(spark: SparkSession, folder: str, profile: str = "typed") -> DataFrame:
     """Rows per table after the whole pipeline has run over the derived stream."""
     out = _run_folder(spark)
