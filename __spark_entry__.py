@@ -347,6 +347,11 @@ def stream_throttle(spark, folder):
     return _short(replay.throttled(spark, folder))
 
 
+@query
+def late_rows(spark, folder):
+    return replay.late_windows(spark, folder, oracles.LATENESS, "1 hour")
+
+
 @query
 def stream_pipeline(spark, folder):
     return replay.pipeline_counts(spark, folder)

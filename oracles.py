@@ -4,6 +4,7 @@ from __future__ import annotations
 
 DEVICE, GATEWAY = "MAC000001", "GW0001"
 TIER_CAP = 5  # a series so short that devices fill it within the hot tier
+LATENESS = 600  # seconds that the pipeline waits for rows out of order
 TOPIC_KINDS = ("Health", "Loca", "TagConf", "Message", "AncConf")
 
 RAW = """
@@ -322,6 +323,20 @@ def _own() -> dict[str, str]:
                 room_temp, steps, time_bucket(INTERVAL '5 seconds', "timestamp")
               ORDER BY "timestamp", msg_id) = 1""",
         "stream_tumbling": tumbled + f"SELECT {_SHORT} FROM tumbled",
+        # four files, each row up to 3500 seconds out of place; the watermark is that of earlier files
+        "late_rows": typed + f""", placed AS (
+              SELECT *, CAST(epoch(received_ts) AS BIGINT) + msg_id * 7919 % 3500 AS place FROM typed
+            ), span AS (SELECT min(place) AS low, max(place) + 1 - min(place) AS width FROM placed
+            ), filed AS (
+              SELECT placed.*, CAST(place >= low + width * 1 // 4 AS INTEGER) + CAST(place >= low + width * 2 // 4 AS INTEGER)
+                + CAST(place >= low + width * 3 // 4 AS INTEGER) AS file FROM placed, span
+            ), newest AS (
+              SELECT file, max(max("timestamp")) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+              FROM filed WHERE route <> 'invalid' GROUP BY file
+            ) SELECT time_bucket(INTERVAL '1 hour', "timestamp") AS window_start, count(*) AS late_rows,
+                CAST(max(epoch(seen) - epoch("timestamp")) AS BIGINT) AS most_seconds
+              FROM filed JOIN newest USING (file)
+              WHERE route <> 'invalid' AND "timestamp" < seen - INTERVAL '{LATENESS} seconds' GROUP BY 1""",
         "stream_throttle": throttled + f"SELECT {_SHORT} FROM throttled",
         "stream_pipeline": throttled + """SELECT route AS table_name, count(*) AS row_count FROM throttled
             GROUP BY route UNION ALL

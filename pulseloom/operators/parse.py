@@ -16,7 +16,7 @@ from pulseloom.functions.classify import DIAPER, VITAL
 from pulseloom.functions.document import Keys
 from pulseloom.operators import validate
 
-INVALID, DROPPED = "invalid", "dropped"
+INVALID, DROPPED, LATE = "invalid", "dropped", "late"
 
 # Fixed values: (column, JSON key, type) of the typed records.
 SHARED_FIELDS = (
@@ -348,7 +348,7 @@ def lenient_diapers(parsed: DataFrame, *extra: str) -> DataFrame:
 
 def rejects(parsed: DataFrame, profile: str = "typed") -> DataFrame:
     """Dead letters with the reasons of their rejection."""
-    return parsed.filter(F.col("route") == INVALID).select(
+    return parsed.filter(F.col("route").isin(INVALID, LATE)).select(
         "msg_id", "received_ts", "payload", F.lit(profile).alias("profile"), "route", "reasons")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import logging
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
@@ -20,6 +20,7 @@ log = logging.getLogger(__name__)
 
 DEAD_LETTERS = "dead_letters"
 FLUSH_SIZE = 100
+VIEWS = ("latest", "series", "gateways")
 RETENTION_DAYS = 30
 
 TABLE_COLUMNS = {
@@ -119,7 +120,7 @@ def _merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
 
 def write_serving(records: DataFrame, root: str, batch_id: int = 0, ttl: int = serving.TTL,
                   cap: int = serving.CAP, time: str = "timestamp", keep: int = 2, order: str = "event",
-                  clock: str = "received_ts") -> None:
+                  clock: str = "received_ts", views: Sequence[str] = VIEWS) -> None:
     """Fold a batch of records into the hot views and write them as new snapshots.
 
     ``clock`` decides what is alive: by default the arrival, so a device with a wrong
@@ -127,7 +128,8 @@ def write_serving(records: DataFrame, root: str, batch_id: int = 0, ttl: int = s
     ``order='arrival'`` lets the last message to arrive be the latest.
 
     A snapshot holds only live entries (at most ``cap`` points each), so the cost of a
-    batch follows the number of live devices, not the length of history.
+    batch follows the number of live devices, not the length of history. ``views`` leaves
+    out series or gateways that are kept as streaming state instead (``streaming.hot``).
     """
     spark = records.sparkSession
     points = records.filter(F.col(time).isNotNull())
@@ -141,11 +143,12 @@ def write_serving(records: DataFrame, root: str, batch_id: int = 0, ttl: int = s
     newest = _merge(previous("latest"), records.withColumn("last_write", F.col(clock)))
     now = newest.agg(F.max("last_write")).scalar()
     write("latest", serving.newest_written(newest, now, ttl, time, order))
-    pool = _merge(previous("series"), points)
-    write("series", serving.series(pool, cap, ttl, now, time, clock=clock).drop("position"))
-    if "gateway_id" in records.columns:
+    if "series" in views:
+        pool = _merge(previous("series"), points)
+        write("series", serving.series(pool, cap, ttl, now, time, clock=clock).drop("position"))
+    if "gateways" in views and "gateway_id" in records.columns:
         write("gateways", _gateways(previous("gateways"), points, ttl, now, clock))
-    for view in ("latest", "series", "gateways"):
+    for view in VIEWS:
         trim(spark, root, view, batch_id, keep)
 
 

@@ -11,7 +11,7 @@ from pulseloom.operators import live, parse, sinks
 from pulseloom.session import shared_dir
 from pulseloom.sources import raw
 from pulseloom.sources.history import read_history
-from pulseloom.streaming import clocks, dedup, hot, pipeline
+from pulseloom.streaming import clocks, dedup, hot, late, pipeline
 
 SLICES = 4
 DISORDER = 3500  # seconds that a message of the sliced files may be out of place
@@ -108,6 +108,15 @@ def pipeline_counts(spark: SparkSession, folder: str, profile: str = "typed") ->
     return counts.groupBy("table_name").agg(F.count("*").alias("row_count"))
 
 
+def late_windows(spark: SparkSession, folder: str, lateness: int, window: str) -> DataFrame:
+    """Late rows by window after the pipeline has read files out of order."""
+    out = _run_folder(spark)
+    stream = raw.read_raw(spark, sliced(spark, folder, out), streaming=True, maxFilesPerTrigger="1")
+    pipeline.run(stream, f"{out}/tables", f"{out}/checkpoint", trigger={"availableNow": True}, method=None,
+                 lateness=lateness, views=()).awaitTermination()
+    return late.per_window(spark, f"{out}/tables", window)
+
+
 _STORES: dict[tuple[str, str], str] = {}
 
 

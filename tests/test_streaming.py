@@ -17,7 +17,7 @@ import telemetry
 from conftest import SMALL
 from pulseloom.operators import dedup, parse, serving, sinks
 from pulseloom.sources import raw as raw_source
-from pulseloom.streaming import clocks, dedup as stream_dedup, pipeline
+from pulseloom.streaming import clocks, dedup as stream_dedup, hot, late, pipeline
 
 
 @pytest.fixture(scope="module")
@@ -168,6 +168,48 @@ def test_devices_with_different_clocks(spark, tmp_path):
     assert len(list((tmp_path / pipeline.PASSES).glob("batch_id=*"))) == 2
 
 
+def test_late_rows_are_kept_and_counted(spark, tmp_path):
+    """Late rows are dead letters with a reason; a clock that is ahead makes nobody late."""
+    root, start = str(tmp_path), dt.datetime(2025, 1, 1)
+
+    def batch(number, *rows):
+        data = [(i, start + dt.timedelta(seconds=arrived), json.dumps(
+            {"content": "300B", "gateway id": "g", "MAC": f"m{i}", "hr": 70, "timestamp": 1735689600000 + 1000 * second}))
+            for i, arrived, second in rows]
+        pipeline.write_batch(spark.createDataFrame(data, raw_source.RAW_SCHEMA), number, root, lateness=60, views=())
+
+    batch(0, (1, 0, 0), (2, 10, 86_400))  # the second one's clock is a day ahead
+    batch(1, (3, 200, 195), (4, 201, 1))
+    batch(1, (3, 200, 195), (4, 201, 1))  # a retry changes nothing
+    batch(2, (5, 210, 134), (6, 211, 135), (7, 212, 1), (8, 213, 2))
+    batch(3)
+    stored = spark.read.parquet(f"{root}/vital_signs")
+    assert sorted(r.msg_id for r in stored.select("msg_id").collect()) == [1, 2, 3, 4, 6]
+    letters = spark.read.parquet(f"{root}/{sinks.DEAD_LETTERS}")
+    assert sorted((r.msg_id, r.route, tuple(r.reasons)) for r in letters.collect()) == [
+        (5, "late", ("late",)), (7, "late", ("late",)), (8, "late", ("late",))]
+    counts = late.per_window(spark, root, "1 minute").collect()
+    assert sorted((r.window_start, r.late_rows, r.most_seconds) for r in counts) == [
+        (start, 2, 194), (start + dt.timedelta(minutes=2), 1, 61)]
+    routes = spark.read.parquet(f"{root}/{pipeline.METRICS}").filter("batch_id = 2")
+    assert {r.route: r.messages for r in routes.collect()} == {"late": 3, "vital_signs": 1}
+    assert not (tmp_path / "series").exists() and (tmp_path / "latest").exists()
+
+
+def test_hot_queries_beside_the_pipeline(spark, folder, raw, tmp_path):
+    started = pipeline.run_hot(stream(spark, folder), str(tmp_path), trigger={"availableNow": True}, ttl=12 * 3600, cap=3)
+    for query in started.values():
+        query.awaitTermination()
+    records = valid(spark.createDataFrame(raw, raw_source.RAW_SCHEMA))
+    now = records.agg(F.max("received_ts")).first()[0]
+    got = hot.series_view(spark, f"{tmp_path}/series", records, 3, 12 * 3600, now, clock="received_ts")
+    expected = serving.series(records, 3, 12 * 3600, now, clock="received_ts")
+    assert sorted(r.msg_id for r in got.collect()) == sorted(r.msg_id for r in expected.collect()) != []
+    got = hot.gateway_view(spark, f"{tmp_path}/gateways", 12 * 3600, now)
+    expected = serving.gateway_index(records, now, 12 * 3600, "received_ts")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect())) != []
+
+
 def test_hot_failure_does_not_stop_history(spark, raw, tmp_path, monkeypatch):
     def fail(*args, **kwargs):
         raise RuntimeError("store is down")
