@@ -18,7 +18,7 @@ import replay
 import telemetry
 from pulseloom.functions import classify, derive, keys
 from pulseloom.operators import dedup, parse, serving, sinks, validate
-from pulseloom.plans import history, lookups, quality
+from pulseloom.plans import alerts, history, lookups, quality
 from pulseloom.session import configure
 from pulseloom.sources import history as history_source, raw as raw_source
 
@@ -113,6 +113,22 @@ def stamped_payloads(spark, folder):
     return raw.select("msg_id", raw_source.stamped_payload(F.col("received_ts"), F.col("payload")).alias("payload"))
 
 
+def _bytes(spark, folder) -> DataFrame:
+    """Payloads as bytes; every thirteenth event's have a byte that no UTF-8 text holds."""
+    stray = F.when(F.floor(F.col("msg_id") / 10) % 13 == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    return _raw(spark, folder).withColumn("payload", F.concat(F.encode("payload", "UTF-8"), stray))
+
+
+@query
+def undecodable_messages(spark, folder):
+    return raw_source.undecodable(_bytes(spark, folder))
+
+
+@query
+def decodable_messages(spark, folder):
+    return raw_source.decodable(_bytes(spark, folder))
+
+
 # --- classification ----------------------------------------------------------
 
 @query
@@ -658,6 +674,32 @@ def window_latency(spark, folder):
     return _rounded(quality.window_latency(rows, "done_ts", minutes=DAY, exact=True), "p50_ms", "p99_ms")
 
 
+@query
+def new_since_check(spark, folder):
+    return replay.checked(spark, folder)
+
+
+@query
+def error_alerts(spark, folder):
+    return _rounded(alerts.error_alerts(_typed(spark, folder), minutes=60, hold=120), "peak")
+
+
+def _latency_sketch(spark, folder) -> DataFrame:
+    done = F.window("received_ts", "5 seconds")["end"]
+    latency = F.unix_millis(done) - F.unix_millis("timestamp")
+    return alerts.sketch(_vitals(spark, folder), latency, minutes=60)
+
+
+@query
+def latency_sketch(spark, folder):
+    return alerts.quantiles(alerts.merged(_latency_sketch(spark, folder), DAY), 0.5, 0.99)
+
+
+@query
+def latency_alerts(spark, folder):
+    return alerts.latency_alerts(_latency_sketch(spark, folder), minutes=6 * 60, hold=DAY, limit=4000)
+
+
 # --- operators for training data, where they are installed ---
 
 _SQL: dict[str, str] = {}

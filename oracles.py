@@ -244,6 +244,8 @@ def _own() -> dict[str, str]:
     throttled = f"WITH RECURSIVE {TYPED}{_throttled('valid', _KEY, chr(34) + 'timestamp' + chr(34))} "
     latest, series = f"WITH {TYPED}{LATEST} ", f"WITH {TYPED}{SERIES} "
     gateways = f"WITH {TYPED}{GATEWAYS} "
+    late = typed + f""", ms AS (SELECT "timestamp", epoch_ms({_WINDOW_END}) - epoch_ms("timestamp") AS v FROM vitals), late AS (
+        SELECT "timestamp", v >> greatest(length(bin(v)) - 7, 0) << greatest(length(bin(v)) - 7, 0) AS bucket FROM ms) """
     return {
         "raw_messages": raw + "SELECT msg_id, received_ts, payload FROM raw",
         "topic_parts": f"SELECT event_id, {_TOPIC} AS topic, "
@@ -450,6 +452,28 @@ def _own() -> dict[str, str]:
               SELECT time_bucket(INTERVAL '1 hour', received_ts) AS window_start, count(*) AS messages,
                 count(*) FILTER (WHERE route = 'invalid') AS errors FROM typed GROUP BY 1
             ) SELECT *, round(errors / messages, 6) AS error_rate, errors / messages > 0.05 AS alert FROM rates""",
+        "undecodable_messages": raw + """SELECT msg_id, received_ts, base64(encode(payload) || '\\xFF'::BLOB) AS payload_base64,
+            'invalid' AS route, 'invalid_utf8' AS reasons FROM raw WHERE msg_id // 10 % 13 = 0""",
+        "decodable_messages": raw + "SELECT msg_id, received_ts, payload FROM raw WHERE msg_id // 10 % 13 <> 0",
+        "new_since_check": typed + """, parts AS (SELECT count(*) FILTER (WHERE msg_id % 3 = 0) AS a, count(*) AS n FROM diapers)
+            SELECT 0 AS check_no, a AS new_rows, a AS total FROM parts UNION ALL SELECT 1, n - a, n FROM parts
+            UNION ALL SELECT 2, 0, n FROM parts UNION ALL SELECT 3, 0, n FROM parts""",
+        "error_alerts": typed + """, rates AS (
+              SELECT time_bucket(INTERVAL '1 hour', received_ts) AS w, count(*) FILTER (WHERE route = 'invalid') / count(*) AS rate
+              FROM typed GROUP BY 1
+            ), runs AS (
+              SELECT w, rate, w - row_number() OVER (ORDER BY w) * INTERVAL '1 hour' AS run FROM rates WHERE rate > 0.05
+            ) SELECT min(w) AS started, max(w) + INTERVAL '1 hour' AS ended, count(*) AS bad_windows, round(max(rate), 6) AS peak
+              FROM runs GROUP BY run HAVING count(*) >= 2""",
+        "latency_sketch": late + """SELECT w AS window_start, count(*) AS messages,
+              quantile_disc(bucket, 0.5) AS p50, quantile_disc(bucket, 0.99) AS p99
+            FROM (SELECT time_bucket(INTERVAL '1 day', "timestamp") AS w, bucket FROM late) GROUP BY 1""",
+        "latency_alerts": late + """, tops AS (
+              SELECT time_bucket(INTERVAL '6 hours', "timestamp") AS w, quantile_disc(bucket, 0.99) AS p99 FROM late GROUP BY 1
+            ), runs AS (
+              SELECT w, p99, w - row_number() OVER (ORDER BY w) * INTERVAL '6 hours' AS run FROM tops WHERE p99 > 4000
+            ) SELECT min(w) AS started, max(w) + INTERVAL '6 hours' AS ended, count(*) AS bad_windows, max(p99) AS peak
+              FROM runs GROUP BY run HAVING count(*) >= 4""",
         "window_latency": typed + f""", late AS (
               SELECT time_bucket(INTERVAL '1 day', "timestamp") AS window_start,
                 epoch_ms({_WINDOW_END}) - epoch_ms("timestamp") AS ms FROM vitals

@@ -47,10 +47,11 @@ def _list_file(path: str, version: int) -> str:
 
 
 def load(spark: SparkSession, path: str, version: int | None = None) -> dict:
-    """A commit list: ``version``, ``schema``, ``writers`` (last batch of each) and ``days``."""
+    """A commit list: ``version``, ``schema``, ``writers`` (last batch of each), ``days`` with
+    their folders, and ``rows``, how many have ever been added."""
     known = versions(spark, path)
     if not known:
-        return {"version": -1, "schema": None, "writers": {}, "days": {}}
+        return {"version": -1, "schema": None, "writers": {}, "days": {}, "rows": 0}
     fs, file = _fs(spark, _list_file(path, known[-1] if version is None else version))
     stream = fs.open(file)
     try:
@@ -127,15 +128,19 @@ def append(records: DataFrame, path: str, batch_id: int | None = None, writer: s
     name = f"a{uuid.uuid4().hex}" if batch_id is None else f"b{batch_id:012d}-{uuid.uuid5(uuid.NAMESPACE_URL, writer).hex[:8]}"
     _write(by_day(records, time), path, name)
     days = _written(spark, path, name)
+    schema = records.schema.json()
+    # from the files' footers: what is written is what counts
+    added = _folders(spark, path, {"schema": schema}, {day: [name] for day in days}).count()
 
     def change(state: dict) -> None:
-        state["schema"] = records.schema.json()
+        state["schema"] = schema
         for day in days:
             live = state["days"].setdefault(day, [])
             if name not in live:
                 live.append(name)
         if batch_id is not None:
             state["writers"][writer] = max(batch_id, state["writers"].get(writer, -1))
+        state["rows"] = state.get("rows", 0) + added
 
     commit(spark, path, change)
     return True

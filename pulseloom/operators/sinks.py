@@ -7,19 +7,25 @@ to a folder named after the batch and replaces it, so a retried batch leaves the
 from __future__ import annotations
 
 import datetime as dt
-import itertools
-import logging
-from collections.abc import Callable, Iterator, Sequence
-
+import json
+import sys
+import time as timing
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
+
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from pulseloom.functions.classify import DIAPER, VITAL, check_profile
 from pulseloom.operators import live, parse, serving
 
-log = logging.getLogger(__name__)
+# executors need not have this package installed to push
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEAD_LETTERS = "dead_letters"
 FLUSH_SIZE = 100
+PUSHES = "pushes"
 VIEWS = ("latest", "series", "gateways")
 RETENTION_DAYS = 30
 
@@ -166,20 +172,84 @@ def _gateways(old: DataFrame | None, points: DataFrame, ttl: int, now, time: str
     return members.join(islands, "gateway_id").filter(F.col("last_seen") >= F.col("island_start"))
 
 
-def push_serving(entries: DataFrame, connect: Callable[[], Callable[[list[Row]], None]],
-                 size: int = FLUSH_SIZE) -> None:
-    """Send ``serving.entries`` to an external hot store, ``size`` at a time.
+class Flush(NamedTuple):
+    """Name of a flush: the same one after a retried task or batch, so a store can skip repeats."""
+
+    epoch: int
+    partition: int
+    number: int
 
-    ``connect`` runs once per partition and returns the function that sends one flush. A
-    flush that fails is logged and skipped; the pipeline goes on. Only one flush is held.
-    """
 
-    def push(rows: Iterator[Row]) -> None:
-        send = connect()
-        while flush := list(itertools.islice(rows, size)):
-            try:
-                send(flush)
-            except Exception:
-                log.exception("flush of %d entries failed", len(flush))
+PUSHED = "epoch bigint, partition int, flush int, entries int, attempts int, error string, failed array<string>"
 
-    entries.foreachPartition(push)
+
+def push_serving(entries: DataFrame, connect: Callable[[], Callable[[Flush, list[Row]], None]], root: str, epoch: int = 0,
+                 size: int = FLUSH_SIZE, attempts: int = 3, wait: float = 1.0, parallel: int | None = None) -> DataFrame:
+    """Send ``serving.entries`` to an external hot store, ``size`` at a time; returns the outcome.
+
+    ``connect`` runs once per partition and returns the function that sends one flush. Entries
+    are dealt out by device and ordered, so a flush holds the same entries whenever its task is
+    run again; a store that remembers the names of its last flushes applies none twice. A flush
+    that fails is tried again up to ``attempts`` times, each after a longer wait; then its
+    entries become dead letters in ``root`` (see ``failed_entries``) and the rest goes on. Only
+    one flush is held. ``epoch`` is the batch, whose outcome a retried batch replaces.
+    """
+    spark = entries.sparkSession
+    names = entries.columns
+    parts = parallel or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a number of partitions of its own, which adaptive execution leaves alone
+    dealt = entries.repartition(parts, "device_id").sortWithinPartitions("device_id", *[c for c in names if c != "device_id"])
+
+    def push(batches):
+        send, record = None, Row(*names)
+        partition, number, waiting = TaskContext.get().partitionId(), 0, []
+
+        def flush(rows: list[tuple]) -> pa.RecordBatch:
+            nonlocal send, number
+            error = None
+            for attempt in range(1, attempts + 1):
+                try:
+                    if send is None:
+                        send = connect()
+                    send(Flush(epoch, partition, number), [record(*r) for r in rows])
+                    error = None
+                    break
+                except Exception as problem:
+                    error = f"{type(problem).__name__}: {problem}"
+                    if attempt < attempts:
+                        timing.sleep(wait * attempt)
+            failed = None if error is None else [json.dumps(dict(zip(names, r)), default=str) for r in rows]
+            number += 1
+            told = (epoch, partition, number - 1, len(rows), attempt, error, failed)
+            return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(told, kinds)], names=columns)
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                waiting.append(row)
+                if len(waiting) == size:
+                    yield flush(waiting)
+                    waiting = []
+        if waiting:
+            yield flush(waiting)
+
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string())]
+    columns = [c.split()[0] for c in PUSHED.split(", ")]
+    folder = f"{root}/{PUSHES}/epoch_no={epoch}"
+    dealt.mapInArrow(push, PUSHED).write.mode("overwrite").parquet(folder)
+    return spark.read.schema(PUSHED).parquet(folder)
+
+
+def failed_entries(pushed: DataFrame) -> DataFrame:
+    """Dead letters of the flushes that failed for good: one row for each entry."""
+    bad = pushed.filter(F.col("error").isNotNull())
+    return bad.select("epoch", "partition", "flush", F.explode("failed").alias("entry"), "error")
+
+
+def push_counts(pushed: DataFrame) -> DataFrame:
+    """Entries sent, sent only after a retry, and failed, by epoch."""
+    failed = F.col("error").isNotNull()
+    n = F.col("entries")
+    return pushed.groupBy("epoch").agg(
+        F.sum(F.when(~failed, n).otherwise(0)).alias("sent"),
+        F.sum(F.when(~failed & (F.col("attempts") > 1), n).otherwise(0)).alias("sent_late"),
+        F.sum(F.when(failed, n).otherwise(0)).alias("failed"))

@@ -45,6 +45,20 @@ def read_raw(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
     return reader.format(fmt).schema(RAW_SCHEMA).options(**options).load(path)
 
 
+def decodable(raw: DataFrame, column: str = "payload") -> DataFrame:
+    """Messages whose bytes are UTF-8, with the text in place of the bytes; a null stays null."""
+    text = F.col(column).cast("string")
+    return raw.withColumn(column, text).filter(F.col(column).isNull() | F.is_valid_utf8(column))
+
+
+def undecodable(raw: DataFrame, column: str = "payload") -> DataFrame:
+    """Dead letters of the other messages: their bytes in base64, which text can carry."""
+    bad = raw.filter(~F.is_valid_utf8(F.col(column).cast("string")))
+    text = F.translate(F.base64(F.col(column).cast("binary")), "\r\n", "")  # in one line
+    return bad.select("msg_id", "received_ts", text.alias("payload_base64"),
+                      F.lit("invalid").alias("route"), F.array(F.lit("invalid_utf8")).alias("reasons"))
+
+
 def decode(raw: DataFrame, column: str = "payload") -> DataFrame:
     """Binary payloads to text."""
     return raw.withColumn(column, F.col(column).cast("string"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import telemetry
 from pulseloom.operators import live, parse, sinks
+from pulseloom.plans import checks
 from pulseloom.session import shared_dir
 from pulseloom.sources import raw
 from pulseloom.sources.history import read_history
@@ -117,6 +118,36 @@ def late_windows(spark: SparkSession, folder: str, lateness: int, window: str) -
     return late.per_window(spark, f"{out}/tables", window)
 
 
+def checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Checks of a growing table: after its first batch, after two more of which one check
+    failed before it was done, after a compaction, and after a repeated batch."""
+    out = _run_folder(spark)
+    root, mark, found = f"{out}/tables", f"{out}/mark", []
+    path = f"{root}/diaper_status"
+    parsed = parse.typed(telemetry.raw_messages(spark, folder)).filter(F.col("route") != parse.INVALID)
+
+    def add(batch: int) -> None:
+        sinks.write_history(parsed.filter(F.pmod("msg_id", F.lit(3)) == batch), root, batch)
+
+    def check(finish: bool = True) -> None:
+        seen = checks.since_last(spark, path, mark)
+        if finish:
+            checks.done(spark, seen, mark)
+            found.append(seen)
+
+    add(0)
+    check()
+    add(1)
+    check(finish=False)
+    add(2)
+    check()
+    live.compact(spark, path)
+    check()
+    add(2)
+    check()
+    return checks.as_rows(spark, found)
+
+
 _STORES: dict[tuple[str, str], str] = {}
 
 

@@ -1,6 +1,9 @@
 """Hot views: limits, expiry as a whole key, snapshots across batches."""
 
 import datetime as dt
+import glob
+import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,26 +143,61 @@ def test_wrong_clock_leaves_others_alone(spark, tmp_path):
     assert sinks.read_snapshot(spark, str(tmp_path), "latest").count() == 1
 
 
-def test_push_in_flushes(spark, tmp_path):
-    """Flushes of 100, a shorter last one, and a failing flush is skipped."""
-    folder = str(tmp_path)
+def pushes(spark, tmp_path, broken=(), **options):
+    """Push 250 entries with a store that remembers flushes; ``broken`` flushes fail that often."""
+    folder, broken = str(tmp_path / "store"), dict(broken)
+    os.makedirs(folder, exist_ok=True)
+    rows = [(f"d{i % 7}", None if i % 10 == 0 else i, f"value {i}") for i in range(250)]
+    entries = spark.createDataFrame(rows, "device_id string, score bigint, value string").repartition(3)
 
     def connect():
-        import os
-        import uuid
-        count = iter(range(10))
+        tried = {}
 
-        def send(rows):
-            if next(count) == 1:
-                raise OSError("store is down")
-            with open(os.path.join(folder, uuid.uuid4().hex), "w", encoding="utf-8") as out:
-                out.write("\n".join(r.latest_key for r in rows))
+        def send(flush, entries):
+            tried[flush] = tried.get(flush, 0) + 1
+            if tried[flush] <= broken.get(flush.number, 0):
+                raise OSError(f"flush {flush.number} refused")
+            assert len(entries) <= 40 and entries[0].device_id
+            with open(f"{folder}/{'-'.join(map(str, flush))}", "w", encoding="utf-8") as out:
+                json.dump([list(e) for e in entries], out)
 
         return send
 
-    df = writes(spark, *[(s, f"d{s}", "g") for s in range(250)] + [(None, "late", "g")]).coalesce(1)
-    entries = serving.entries(df)
-    assert entries.filter("series_key IS NULL").select("latest_key", "score").collect() == [("vitals:late", None)]
-    sinks.push_serving(entries, connect)
-    sizes = sorted(len(f.read_text().splitlines()) for f in tmp_path.iterdir())
-    assert sizes == [51, 100]
+    told = sinks.push_serving(entries, connect, str(tmp_path), size=40, wait=0.01, parallel=2, **options)
+    sent = [tuple(e) for f in glob.glob(f"{folder}/*") for e in json.load(open(f, encoding="utf-8"))]
+    return rows, sent, told
+
+
+def test_push_in_flushes(spark, tmp_path):
+    rows, sent, told = pushes(spark, tmp_path, epoch=4)
+    assert sorted(sent, key=repr) == sorted(rows, key=repr)
+    assert tuple(sinks.push_counts(told).first()) == (4, 250, 0, 0)
+    # a retried batch sends the same flushes under the same names
+    names = sorted(glob.glob(f"{tmp_path}/store/*"))
+    held = {n: open(n, encoding="utf-8").read() for n in names}
+    pushes(spark, tmp_path, epoch=4)
+    assert {n: open(n, encoding="utf-8").read() for n in sorted(glob.glob(f"{tmp_path}/store/*"))} == held
+
+
+def test_failing_store(spark, tmp_path):
+    """One flush of a partition succeeds when tried again, another never does and becomes dead letters."""
+    rows, sent, told = pushes(spark, tmp_path, broken={0: 2, 1: 9})
+    counts = sinks.push_counts(told).first()
+    assert counts.sent == len(sent) and counts.sent + counts.failed == 250
+    by_flush = {n: sum(r.entries for r in told.collect() if r.flush == n) for n in (0, 1)}
+    assert (counts.sent_late, counts.failed) == (by_flush[0], by_flush[1])
+    letters = sinks.failed_entries(told).collect()
+    lost = [tuple(json.loads(r.entry).values()) for r in letters]
+    assert sorted(sent + lost, key=repr) == sorted(rows, key=repr)
+    assert {r.error for r in letters} == {"OSError: flush 1 refused"}
+
+
+def test_unreachable_store(spark, tmp_path):
+    def connect():
+        raise ConnectionError("no route")
+
+    entries = spark.createDataFrame([("d", 1)], "device_id string, score bigint")
+    told = sinks.push_serving(entries, connect, str(tmp_path), wait=0)
+    assert sinks.push_counts(told).first().failed == 1
+    empty = sinks.push_serving(entries.limit(0), connect, str(tmp_path), epoch=1)
+    assert empty.count() == 0
