@@ -4,7 +4,7 @@ from __future__ import annotations
 
 DEVICE, GATEWAY = "MAC000001", "GW0001"
 TIER_CAP = 5  # a series so short that devices fill it within the hot tier
-LATENESS = 600  # seconds that the pipeline waits for rows out of order
+LATENESS = 60  # seconds that the pipeline waits for rows out of order
 TOPIC_KINDS = ("Health", "Loca", "TagConf", "Message", "AncConf")
 
 RAW = """
