@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseloom.llm import common, words
 
@@ -264,11 +264,18 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         _similar, "a long, b long")
 
 
+def _drawn(label: str, step: int) -> Column:
+    """A label under a number drawn anew in every step."""
+    return F.struct(F.xxhash64(label, F.lit(step)).alias("drawn"), F.col(label).alias("label"))
+
+
 def merged(labels: DataFrame, links: DataFrame, folder: str) -> DataFrame:
-    """Labels after joining the components of linked nodes: contraction to smaller labels.
+    """Labels after joining the components of linked nodes: contraction to drawn labels.
 
-    ``labels`` has (uid, comp), ``links`` pairs of comps (u, v). Each step maps every label to
-    the smallest one beside it and rewrites the links, until none is left.
+    ``labels`` has (uid, comp), ``links`` pairs of comps (u, v). Each step draws numbers for
+    all labels, maps every label to that of the smallest number among itself and those beside
+    it, and rewrites the links, until none is left. In whatever order a chain is numbered,
+    about half of its labels go in every step, so the steps grow with its logarithm.
     """
     step = 0
     while True:
@@ -276,7 +283,9 @@ def merged(labels: DataFrame, links: DataFrame, folder: str) -> DataFrame:
         if links.isEmpty():
             return labels
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        to = common.staged(both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("to")), f"{folder}/to-{step}")
+        least = both.groupBy("u").agg(F.min(_drawn("v", step)).alias("beside"))
+        to = common.staged(least.select("u", F.least(_drawn("u", step), "beside")["label"].alias("to")),
+                           f"{folder}/to-{step}")
         labels = common.staged(
             labels.join(to, F.col("comp") == F.col("u"), "left").select(
                 "uid", F.coalesce("to", "comp").alias("comp")), f"{folder}/labels-{step}")
@@ -439,10 +448,14 @@ def report(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, and every one without words; all columns stay.
 
-    Rows that repeat id and text stay once.
+    Rows that repeat id and text stay once, whichever of them that is. A null id is the
+    largest; a null text counts as empty, and such rows stay, each id once. Other columns may
+    have any name. An empty table stays empty.
     """
     first = grouped(docs).filter("first").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    held = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    # the row as one value: its columns cannot clash with the helpers
+    keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"),
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text_key"))
+    held = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
     kept = keyed.join(first, held, "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    return kept.dropDuplicates(["_doc", "_text_key"]).select("_row.*")

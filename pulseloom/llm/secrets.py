@@ -178,17 +178,20 @@ def _masked(text: pd.Series, more: pd.Series) -> pd.Series:
 def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Replace every reported span by ``[secret]``; all rows and columns stay.
 
-    A column ``n_chars`` follows the new text. A null text stays null.
+    A column ``n_chars`` follows the new text. A null text stays null, and so does its length.
+    Repeated rows stay repeated. Other columns may have any name. An empty table stays empty.
     """
     by_text = linked(scan(docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text_col).alias("text")))).groupBy(
         F.col("text_key").alias("_key")).agg(F.collect_list(F.struct("start", "end")).alias("_more"))
-    key = F.sha2(F.col(text_col), 256)
+    # the row as one value: its columns cannot clash with the helpers
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_text"))
     # the patterns of weak parts: texts without any skip the join
-    weak = F.coalesce(F.col(text_col), F.lit("")).rlike(
+    weak = F.coalesce(F.col("_text"), F.lit("")).rlike(
         r"ASIA|AROA|AIDA|(?i:id[\"']?\x20*[:=])|https?://|[A-Za-z0-9/+_-]{32}")
-    some = docs.filter(weak).withColumn("_key", key).join(by_text, "_key", "left").drop("_key")
-    rest = docs.filter(~weak).withColumn("_more", F.lit(None).cast("array<struct<start:int,end:int>>"))
-    both = rest.unionByName(some).withColumn(text_col, _masked(F.col(text_col), F.col("_more"))).drop("_more")
+    some = rows.filter(weak).withColumn("_key", F.sha2("_text", 256)).join(by_text, "_key", "left").drop("_key")
+    rest = rows.filter(~weak).withColumn("_more", F.lit(None).cast("array<struct<start:int,end:int>>"))
+    both = rest.unionByName(some).select("_row", _masked(F.col("_text"), F.col("_more")).alias("_text"))
+    new = {text_col: F.col("_text")}
     if "n_chars" in docs.columns:
-        both = both.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return both.select(docs.columns)
+        new["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return both.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
