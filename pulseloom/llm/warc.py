@@ -211,16 +211,26 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def report(pages: DataFrame) -> DataFrame:
-    """Write archives of the pages, read them back and tell what each capture holds."""
+    """Write archives of the pages, read them back and tell what each capture holds.
+
+    A null html is an empty payload; ids may be null or repeat, and rows alike share one
+    record that others refer to. Other columns are ignored; an empty table gives no rows.
+    """
     folder = common.run_dir(pages.sparkSession, "warc")
-    captures = common.staged(assemble(read(write(pages, folder), payloads=False)), f"{folder}/captures")
+    # the archives are read once; requests, responses and metadata are then columns of a table
+    records = common.staged(read(write(pages, folder), payloads=False).drop("payload"), f"{folder}/records")
+    captures = common.staged(assemble(records.withColumn("payload", F.lit(None).cast("binary"))), f"{folder}/captures")
     r = F.col("response")
     known = captures.filter(r["record_type"] == "response").select(
         r["record_id"].alias("_to"), F.col("metadata.page_id").alias("_page"))
+    revisit = r["record_type"] == "revisit"
     rows = captures.select(
         F.col("metadata.page_id").alias("page_id"),
-        F.when(r["record_type"] == "revisit", r["http_length"]).otherwise(r["payload_bytes"]).alias("payload_bytes"),
-        F.when(r["record_type"] == "revisit", r["digest_sha1"]).otherwise(r["payload_sha1"]).alias("payload_digest"),
+        F.when(revisit, r["http_length"]).otherwise(r["payload_bytes"]).alias("payload_bytes"),
+        F.when(revisit, r["digest_sha1"]).otherwise(r["payload_sha1"]).alias("payload_digest"),
         r["record_type"].alias("record_type"), r["refers_to"].alias("_to"))
-    return (rows.join(known, "_to", "left")
-            .select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("_page").alias("refers_to")))
+    told = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    # only records that refer to one take part in the join, so a hot null key moves nowhere
+    plain = rows.filter(F.col("_to").isNull()).select(*told, F.lit(None).cast("long").alias("refers_to"))
+    return plain.unionByName(rows.filter(F.col("_to").isNotNull()).join(known, "_to", "left").select(
+        *told, F.col("_page").alias("refers_to")))
