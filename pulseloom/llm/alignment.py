@@ -230,6 +230,7 @@ def write(docs: DataFrame, folder: str, name_a: str = PIECES_A, name_b: str = PI
     """
 
     def run(frames):
+        common.alone("alignment")
         pair = load(name_a, name_b)
         for ids, texts in common.batches(frames, BATCH_CHARS):
             found = Aligned(texts, pair)
@@ -263,6 +264,7 @@ def alignments(pairs: DataFrame, folder: str) -> DataFrame:
     """The aligned documents: ids of both tokenizers and how many of each make up every group."""
 
     def run(frames):
+        common.alone("alignment")
         for frame in frames:
             for batch in frame["batch"].tolist():
                 side = words.unpack(common.read_file(_path(folder, batch)))
@@ -333,6 +335,7 @@ def report(docs: DataFrame, name_a: str = PIECES_A, name_b: str = PIECES_B) -> D
         return _digests(side, rows["count"].to_numpy(), rows["best"].to_numpy(dtype=bool))
 
     def run(frames):
+        common.alone("alignment")
         batch, parts = None, []
         for frame in frames:
             for name, part in frame.groupby("batch", sort=False):

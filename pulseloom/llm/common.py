@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
+import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -91,6 +95,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def kept() -> dict:
+    """What a worker keeps from task to task."""
+    return sys.__dict__.setdefault("_pulseloom_kept", {})
+
+
+def alone(user: str) -> None:
+    """Before a task of ``user``: forget what operators of other kinds have kept in this worker.
+
+    Workers outlive jobs, so their tables would take the memory of the operators that follow.
+    """
+    held = kept()
+    if held.get("user") == user:
+        return
+    full = len(held) > 1
+    held.clear()
+    held["user"] = user
+    if full:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

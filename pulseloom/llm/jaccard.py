@@ -77,6 +77,7 @@ _ROWS = "uid long, doc_id long, key long, n_shingles long, fp1 long, fp2 long, p
 
 def _cut(folder: str):
     def run(frames):
+        common.alone("jaccard")
         part, count = TaskContext.get().partitionId(), 0
 
         def packed(frames):
@@ -140,6 +141,7 @@ def _cells(bits: int, ranges: int):
     """What a batch asks of the frequency shuffle: its sorted cells, delta-coded, by range."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        common.alone("jaccard")
         docs = np.sort((frame["uid"].to_numpy() & ((1 << 22) - 1)))
         batch, path = int(frame["batch"].iloc[0]), frame["path"].iloc[0]
         _, value = _load(path, docs)
@@ -222,6 +224,7 @@ _SIGNED = "sig long, uid long, n long, members binary"
 
 def _sign(bits: int, ranges: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        common.alone("jaccard")
         frame = frame.sort_values("range")
         batch, path = int(frame["batch"].iloc[0]), frame["path"].iloc[0]
         docs = _unplanes(frame["cells"].iloc[0], np.uint32)

@@ -207,9 +207,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = F
         "block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.col("blocks")).cast("long"))
 
     def answer(key, frame):
-        import sys
-
-        kept = sys.__dict__.setdefault("_pulseloom_tree", {})  # the last tree this worker has read
+        common.alone("trees")
+        kept = common.kept().setdefault("tree", {})  # the last tree this worker has read
         path = frame["path"].iloc[0]
         if path not in kept:
             kept.clear()

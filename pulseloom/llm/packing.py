@@ -72,6 +72,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.json", lo
     """
 
     def cut(arrived):
+        common.alone("tokens")
         part, count, encoder = TaskContext.get().partitionId(), {}, words.Encoder(tokenizer)
         tail = np.array([end], "<u4").tobytes()
         frames = (batch.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get) for batch in arrived)

@@ -216,6 +216,7 @@ def scan(docs: DataFrame, folder: str, length: int, gram: int) -> DataFrame:
     """
 
     def run(frames):
+        common.alone("suffixes")
         for ids, texts in common.batches(frames, BATCH_CHARS):
             raw = [t.encode("utf-8", "surrogatepass") for t in texts]
             data = np.frombuffer(b"".join(raw), np.uint8)
@@ -246,6 +247,7 @@ def _texts(shared: DataFrame, folder: str, parallel: int) -> DataFrame:
     """The bytes of each piece, from the file of one batch that holds it."""
 
     def run(frames):
+        common.alone("suffixes")
         kept, held = None, {}
         for frame in frames:
             out = []
@@ -270,6 +272,7 @@ def _cold(texts: DataFrame, buckets: int, length: int) -> DataFrame:
     """Repeated windows of pieces by one suffix array for each bucket of minimizers."""
 
     def run(frame):
+        common.alone("suffixes")
         found = repeated_windows(frame["data"].tolist(), length)
         return frame[list(PIECE)].assign(starts=[_packed(x) for x in found], n=frame["n"])
 
@@ -282,6 +285,7 @@ def _hot(texts: DataFrame, folder: str, length: int) -> DataFrame:
     """The same for minimizers that too much text shares: windows meet by 128-bit fingerprints."""
 
     def run(frames):
+        common.alone("suffixes")
         for frame in frames:
             for at in range(0, len(frame), 2000):
                 yield _windows(frame.iloc[at:at + 2000], length)
@@ -375,6 +379,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket
                              "n_spans": spans[edges[1:]] - spans[edges[:-1]], "kept": kept})
 
     def run(frames):
+        common.alone("suffixes")
         batch, found = None, []
         for frame in frames:
             for name, nr, starts in zip(frame["batch"], frame["nr"], frame["starts"]):

@@ -125,6 +125,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", en
     order = [F.asc_nulls_first("doc_id"), F.asc("_tie"), F.asc("_row")]
 
     def put(frames):
+        common.alone("tokens")
         part, number = TaskContext.get().partitionId(), 0
         writer, encoder = Writer(bits), words.Encoder(tokenizer)
         tail = b"" if end is None else np.array([end], "<u4").tobytes()

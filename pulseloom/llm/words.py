@@ -11,7 +11,6 @@ import gc
 import io
 import os
 import re
-import sys
 import uuid
 import zlib
 
@@ -24,16 +23,12 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from pulseloom.llm import common
+from pulseloom.llm.common import kept
 
 BATCH_CHARS = 8 << 20
 START = "\0"  # marks a chunk that begins a text: no space belongs to it
 
 
-def kept() -> dict:
-    """What a worker keeps from task to task."""
-    return sys.__dict__.setdefault("_pulseloom_words", {})
-
-
 def vocabulary(name: str) -> str:
     """Place of a vocabulary file: a path as it is, or a name of the public files."""
     if os.path.isabs(name):
@@ -320,6 +315,7 @@ def distinct_words(docs: DataFrame, folder: str, keep, specials: tuple[str, ...]
     buckets = common.partitions(docs.sparkSession)
 
     def cut(frames):
+        common.alone("words")
         for ids, found in common.batches(frames, BATCH_CHARS):
             batch = Batch(found, specials)
             raw = [w.encode("utf-8", "surrogatepass") for w in batch.words]
@@ -355,6 +351,7 @@ def answered(blocks: DataFrame, ask) -> DataFrame:
     n = common.partitions(blocks.sparkSession)
 
     def run(frames):
+        common.alone("words")
         bucket, known = None, {}
         for frame in frames:
             rows = []
@@ -387,6 +384,7 @@ def reassembled(answers: DataFrame, finish, schema: str) -> DataFrame:
         return finish(side, by_number)
 
     def run(frames):
+        common.alone("words")
         batch, path, rows = None, None, []
         for frame in frames:
             for name, at, b, data in zip(frame["batch"], frame["path"], frame["bucket"], frame["answers"]):
