@@ -486,11 +486,11 @@ def _own() -> dict[str, str]:
 
 
 # the same questions over stored tables or streaming state instead of parsed messages
-_STORED = {"stream_hot_series": "hot_series_ttl", "stream_gateway_devices": "gateway_devices",
+_SAME_AS = {"stream_hot_series": "hot_series_ttl", "stream_gateway_devices": "gateway_devices",
            "stored_recent_vitals": "recent_vitals", "stored_device_avg_hr": "device_avg_hr",
            "stored_daily_vitals": "daily_vitals", "stored_daily_diaper": "daily_diaper"}
 
 
 def all_sql() -> dict[str, str]:
     own = _own()
-    return own | {name: own[same] for name, same in _STORED.items()}
+    return own | {name: own[same] for name, same in _SAME_AS.items()}
