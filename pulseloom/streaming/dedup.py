@@ -1,8 +1,8 @@
 """Deduplication as stateful streaming operators.
 
 Both need event-time order only up to the watermark and free a key's state once it
-can no longer matter. A hot key costs one task the rows it has in one micro-batch,
-so the trigger's input limit bounds that task.
+can no longer matter. A hot key costs one task at most a row for each millisecond that its rows of
+one micro-batch span.
 """
 
 from __future__ import annotations
@@ -10,9 +10,12 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pulseloom.operators import dedup
 
@@ -50,26 +53,48 @@ def tumbling(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "
 class _Throttle(StatefulProcessor):
     """Last pass of a key; forgotten once it cannot suppress anything."""
 
-    def __init__(self, columns: Sequence[str], order: str, millis: int, keep: int):
-        self.columns, self.order, self.millis, self.keep = list(columns), order, millis, keep
+    COLUMNS = ("tick", "micros", "place", "record")
+
+    def __init__(self, millis: int, keep: int):
+        self.millis, self.keep = millis, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "tick bigint")
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def _first(self, parts: list[pd.DataFrame]) -> pd.DataFrame:
+        """Of rows in the same millisecond only the first can pass."""
+        rows = pd.concat(parts).sort_values(["tick", "micros", "place"], kind="stable")
+        return rows.drop_duplicates("tick")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         state = self.last.get()
-        last = before = state[0] if state is not None else None
-        record = Row(*self.columns)
-        for row in sorted(rows, key=lambda r: (r["_tick"], r["_micros"], r[self.order])):
-            if last is None or row["_tick"] - last >= self.millis:
-                last = row["_tick"]
-                yield record(*[row[c] for c in self.columns])
-        if last != before:
-            self.last.update((last,))
-            self.handle.registerTimer(last + self.keep)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        before = state[0] if state is not None else None
+        parts, size, least = [], 0, 0
+        for frame in rows:
+            part = frame[list(self.COLUMNS)]
+            if before is not None:
+                part = part[part["tick"] >= before + self.millis]
+            parts.append(part)
+            size += len(part)
+            if size > 2 * least + 20_000:
+                parts = [self._first(parts)]
+                size = least = len(parts[0])
+        if not size:
+            return
+        held = self._first(parts)
+        ticks, passes, at = held["tick"].to_numpy(), [], 0
+        while at < len(ticks):  # from pass to pass; the rows between them are not looked at
+            passes.append(at)
+            at = int(np.searchsorted(ticks, ticks[at] + self.millis))
+        last = int(ticks[passes[-1]])
+        self.last.update((last,))
+        if before is not None:
+            self.handle.deleteTimer(before + self.keep)
+        self.handle.registerTimer(last + self.keep)
+        yield pd.DataFrame({"record": held["record"].to_numpy()[passes]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state = self.last.get()
         # a later pass has armed its own timer
         if state is not None and state[0] + self.keep <= expiredTimerInfo.getExpiryTimeInMs():
@@ -88,22 +113,27 @@ def throttle(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "
     ``expire_after`` seconds after its last pass a key is forgotten. It only frees state,
     so the default is the earliest time that changes nothing: ``seconds``.
 
-    Spark has no built-in operator for this rule, so it is a ``transformWithState``
-    processor. Times cross to Python as integers.
+    Spark has no built-in operator for this rule, so it is a ``transformWithState`` processor.
+    It takes a key's rows of a micro-batch in Arrow frames, keeps one row a millisecond of
+    those that the last pass does not rule out, and then goes from pass to pass, so no Python
+    code runs per row. What a task holds of a key is bounded by the milliseconds that the
+    key's rows of one batch span. Rows cross to Python as one JSON text each.
     """
     keys = list(keys or dedup.key_columns(stream))
     times = [f.name for f in stream.schema.fields if f.dataType.typeName() == "timestamp"]
-    columns = [c for c in stream.columns if c not in times] + [f"_us_{c}" for c in times]
+    plain = [(F.unix_micros(c) if c in times else F.col(c)).alias(c) for c in stream.columns]
+    shape = StructType([StructField(f.name, LongType() if f.name in times else f.dataType) for f in stream.schema.fields])
+    # one text as the key: pandas would turn nulls of number columns into NaN, which equals nothing
+    zeros = [(F.col(c) + 0.0 if stream.schema[c].dataType.typeName() in ("float", "double") else
+              F.unix_micros(c) if c in times else F.col(c)).alias(c) for c in keys]
     timed = stream.withWatermark(time, watermark).select(
-        "*", F.unix_millis(time).alias("_tick"), F.unix_micros(time).alias("_micros"),
-        *[F.unix_micros(c).alias(f"_us_{c}") for c in times])
-    passed = timed.groupBy(*keys).transformWithState(
-        statefulProcessor=_Throttle(
-            columns, order, seconds * 1000, max(expire_after or 0, seconds) * 1000),
-        outputStructType=timed.select(*columns).schema,
-        outputMode="Append", timeMode="EventTime")
-    return passed.select(
-        *[F.timestamp_micros(f"_us_{c}").alias(c) if c in times else F.col(c) for c in stream.columns])
+        F.to_json(F.struct(*zeros)).alias("key"), F.col(time).alias("at"), F.unix_millis(time).alias("tick"),
+        F.unix_micros(time).alias("micros"), F.col(order).alias("place"), F.to_json(F.struct(*plain)).alias("record"))
+    passed = timed.groupBy("key").transformWithStateInPandas(
+        _Throttle(seconds * 1000, max(expire_after or 0, seconds) * 1000), "record string", "Append", "EventTime")
+    rows = passed.select(F.from_json("record", shape).alias("r"))
+    return rows.select(*[(F.timestamp_micros(F.col("r")[c]) if c in times else F.col("r")[c]).alias(c)
+                         for c in stream.columns])
 
 
 METHODS = {"tumbling": tumbling, "throttle": throttle}

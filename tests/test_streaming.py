@@ -68,6 +68,31 @@ def test_stream_equals_batch(spark, folder, tmp_path, method):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.select(columns).collect()))
 
 
+def test_hot_key_in_one_batch(spark, tmp_path):
+    """A million rows of one key and some of others in one micro-batch against the plain rule."""
+    i = F.col("id")
+    for half in range(2):
+        spark.range(half * 500_000, half * 500_000 + 500_000).select(
+            i.alias("msg_id"), F.when(i % 1000 == 0, F.concat(F.lit("d"), i % 7)).otherwise("hot").alias("k"),
+            F.when(i % 3 > 0, i / 7).alias("value"), F.when(i % 5 > 0, "a \"text\"").alias("note"),
+            F.timestamp_millis(1_700_000_000_000 + i * 2 - i % 11 * 300).alias("timestamp")).repartition(4).coalesce(
+            1).write.mode("append").parquet(str(tmp_path / "in"))
+    schema = "msg_id bigint, k string, value double, note string, timestamp timestamp"
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
+    query = run(stream_dedup.throttle(source, ["k"], watermark="1 minute"), tmp_path)
+    assert max(p["numInputRows"] for p in query.recentProgress) == 1_000_000
+    expected, last = [], {}
+    rows = [(1_700_000_000_000 + n * 2 - n % 11 * 300, n) for n in range(1_000_000)]
+    for tick, n in sorted(rows):
+        key = f"d{n % 7}" if n % 1000 == 0 else "hot"
+        if key not in last or tick - last[key] >= 5000:
+            last[key] = tick
+            expected.append((n, key, n / 7 if n % 3 else None, 'a "text"' if n % 5 else None,
+                             dt.datetime.fromtimestamp(tick / 1000, dt.timezone.utc).replace(tzinfo=None)))
+    got = spark.read.parquet(str(tmp_path / "out")).select("msg_id", "k", "value", "note", F.col("timestamp").cast("timestamp_ntz"))
+    assert sorted(map(tuple, got.collect())) == sorted(expected) and len(expected) > 500
+
+
 def test_files_out_of_order_lose_nothing(spark, tmp_path):
     """Rows that jump between files by less than the watermark all take part, and every window closes."""
     parts = replay.sliced(spark, SMALL, str(tmp_path))
@@ -231,7 +256,7 @@ def test_lenient_pipeline(spark, folder, raw, tmp_path):
 
 
 def test_processor_travels_without_the_package(tmp_path):
-    blob = cloudpickle.dumps(stream_dedup._Throttle(["msg_id"], "msg_id", 5000, 5000))
+    blob = cloudpickle.dumps(stream_dedup._Throttle(5000, 5000))
     load = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).millis); assert 'pulseloom' not in sys.modules"
     done = subprocess.run([sys.executable, "-c", load], input=blob, cwd=tmp_path, capture_output=True, timeout=60)
     assert done.stdout.strip().endswith(b"5000"), done.stderr
