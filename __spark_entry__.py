@@ -99,12 +99,13 @@ def raw_messages(spark, folder):
 
 @query
 def topic_parts(spark, folder):
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    kind = F.element_at(F.array(*[F.lit(k) for k in oracles.TOPIC_KINDS]),
-                        (F.col("event_id") % len(oracles.TOPIC_KINDS) + 1).cast("int"))
-    topic = F.concat(F.when(F.col("event_id") % 9 == 0, "OTHER/").otherwise("UWB/GW"),
-                     F.col("user_id") % 10, F.lit("_"), kind)
-    return raw_source.split_topic(events.select("event_id", topic.alias("topic")))
+    # broker topics of the messages: a gateway's by what they are about, others under their device
+    rows = _typed(spark, folder)
+    kind = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in oracles.TOPICS.items() for x in pair]),
+                                   F.coalesce("message_type", F.lit(""))), F.lit("Loca"))
+    topic = F.when(F.col("gateway_id").isNotNull(), F.concat(F.lit("UWB/"), "gateway_id", F.lit("_"), kind)).otherwise(
+        F.concat(F.lit("OTHER/"), F.coalesce("mac", F.lit("?")), F.lit("_"), kind))
+    return raw_source.split_topic(rows.select("msg_id", topic.alias("topic")))
 
 
 @query
@@ -264,37 +265,36 @@ def serving_keys(spark, folder):
 
 # --- derived values ----------------------------------------------------------
 
-@query
-def button_status(spark, folder):
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    button = F.when(F.col("event_id") % 5 < 4, F.col("event_id") % 5)
-    return events.select("event_id", button.alias("button"), derive.button_label(button).alias("button_status"))
+def _sent_diapers(spark, folder) -> DataFrame:
+    """Diaper messages as sent, valid or not."""
+    return _typed(spark, folder).filter(F.col("message_type") == "DIAPER")
 
 
-def _humidity() -> Column:
-    return F.when(F.col("event_id") % 11 > 0, F.col("event_id") % 1000 / 10)
+@query
+def button_status(spark, folder):
+    return _sent_diapers(spark, folder).select(
+        "msg_id", "button", derive.button_label(F.col("button")).alias("button_status"))
 
 
 @query
 def diaper_status5(spark, folder):
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    return events.select("event_id", _humidity().alias("humidity"),
-                         derive.diaper_label(_humidity()).alias("diaper_status"))
+    return _sent_diapers(spark, folder).select(
+        "msg_id", "humidity", derive.diaper_label(F.col("humidity")).alias("diaper_status"))
 
 
 @query
 def diaper_status3(spark, folder):
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    return events.select("event_id", _humidity().alias("humidity"),
-                         derive.diaper_level(_humidity()).alias("diaper_status"))
+    return _sent_diapers(spark, folder).select(
+        "msg_id", "humidity", derive.diaper_level(F.col("humidity")).alias("diaper_status"))
 
 
 @query
 def hex_button(spark, folder):
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    e = F.col("event_id")
-    text = F.concat(F.when(e % 3 == 0, "0x").otherwise(""), F.lower(F.hex(e)), F.when(e % 5 == 0, "g").otherwise(""))
-    return events.select("event_id", text.alias("button_text"), derive.hex_to_int(text).cast("bigint").alias("button"))
+    # the first of these that a payload has, read as hexadecimal; an address is none
+    paths = ("$.data.button_status", "$.button", "$.hr", "$.MAC")
+    text = F.coalesce(*[F.get_json_object("payload", path) for path in paths])
+    return _raw(spark, folder).select(
+        "msg_id", text.alias("button_text"), derive.hex_to_int(text).cast("bigint").alias("button"))
 
 
 # --- validation --------------------------------------------------------------
@@ -313,9 +313,10 @@ def validate_diaper(spark, folder):
 
 @query
 def mac_length(spark, folder):
-    users = spark.read.parquet(f"{folder}/events.parquet").select(
-        "event_id", F.concat(F.lit("M"), F.pow(F.lit(10), F.col("event_id") % 7).cast("bigint")).alias("mac"))
-    return users.select("event_id", "mac", (~validate.mac_too_short()).alias("is_valid"))
+    # addresses as some gateways shorten them, without zeros
+    short = _typed(spark, folder).filter(F.col("mac").isNotNull()).select(
+        "msg_id", F.regexp_replace("mac", "0", "").alias("mac"))
+    return short.select("msg_id", "mac", (~validate.mac_too_short()).alias("is_valid"))
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 DEVICE, GATEWAY = "MAC000001", "GW0001"
 TIER_CAP = 5  # a series so short that devices fill it within the hot tier
 LATENESS = 60  # seconds that the pipeline waits for rows out of order
-TOPIC_KINDS = ("Health", "Loca", "TagConf", "Message", "AncConf")
+TOPICS = {"VITAL_SIGN": "Health", "DIAPER": "Message"}  # other messages: Loca
 
 RAW = """
 copies AS (
@@ -226,13 +226,8 @@ GATEWAYS = """
   WHERE now - i.last_write < INTERVAL '3 hours' GROUP BY v.gateway_id, v.device_id
 )"""
 
-_HUMIDITY = "CASE WHEN event_id % 11 > 0 THEN (event_id % 1000) / 10.0::DOUBLE END"
-_HEX = ("concat(CASE WHEN event_id % 3 = 0 THEN '0x' ELSE '' END, lower(to_hex(event_id)), "
-        "CASE WHEN event_id % 5 = 0 THEN 'g' ELSE '' END)")
-_TOPIC = ("concat(CASE WHEN event_id % 9 = 0 THEN 'OTHER/' ELSE 'UWB/GW' END, user_id % 10, '_', "
-          + "CASE event_id % 5 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(TOPIC_KINDS)) + " END)")
-_BUTTON_EVENT = "CASE WHEN event_id % 5 < 4 THEN event_id % 5 END"
-_MAC_EVENT = "concat('M', CAST(10 ** (event_id % 7) AS BIGINT))"
+_TOPIC = ("concat(CASE WHEN gateway_id IS NULL THEN concat('OTHER/', coalesce(mac, '?')) ELSE concat('UWB/', gateway_id) END, "
+          "CASE message_type WHEN 'VITAL_SIGN' THEN '_Health' WHEN 'DIAPER' THEN '_Message' ELSE '_Loca' END)")
 _SENT = "SELECT DISTINCT concat('MAC', lpad(CAST(user_id AS VARCHAR), 6, '0')) AS device_id FROM events"
 _STORED = "SELECT DISTINCT device_id FROM diapers, clock WHERE \"timestamp\" > now - INTERVAL '5 days'"
 _WINDOW_END = "time_bucket(INTERVAL '5 seconds', received_ts) + INTERVAL '5 seconds'"
@@ -248,9 +243,8 @@ def _own() -> dict[str, str]:
         SELECT "timestamp", v >> greatest(length(bin(v)) - 7, 0) << greatest(length(bin(v)) - 7, 0) AS bucket FROM ms) """
     return {
         "raw_messages": raw + "SELECT msg_id, received_ts, payload FROM raw",
-        "topic_parts": f"SELECT event_id, {_TOPIC} AS topic, "
-                       f"regexp_extract({_TOPIC}, '^UWB/(.+)_([^_]+)$', 1) AS topic_gateway, "
-                       f"regexp_extract({_TOPIC}, '^UWB/(.+)_([^_]+)$', 2) AS topic_kind FROM events",
+        "topic_parts": typed + f"""SELECT msg_id, topic, regexp_extract(topic, '^UWB/(.+)_([^_]+)$', 1) AS topic_gateway,
+            regexp_extract(topic, '^UWB/(.+)_([^_]+)$', 2) AS topic_kind FROM (SELECT msg_id, {_TOPIC} AS topic FROM typed)""",
         "stamped_payloads": raw + """SELECT msg_id, concat(
             CASE WHEN payload LIKE '{%}' THEN concat(left(payload, length(payload) - 1), ',') ELSE '{' END,
             '"receivedAt":"', strftime(received_ts, '%Y-%m-%dT%H:%M:%S.%fZ'), '"}') AS payload FROM raw""",
@@ -299,19 +293,21 @@ def _own() -> dict[str, str]:
             concat(route, ':timeseries:', device_id) AS lenient_series_key,
             concat('gateway:', gateway_id, ':devices') AS gateway_key,
             concat('health:gateway:', device_id) AS flattened_key FROM valid""",
-        "button_status": f"SELECT event_id, {_BUTTON_EVENT} AS button, "
-                         f"{_BUTTON.format('(' + _BUTTON_EVENT + ')')} AS button_status FROM events",
-        "diaper_status5": f"SELECT event_id, {_HUMIDITY} AS humidity, "
-                          f"{_LEVEL5.format('(' + _HUMIDITY + ')')} AS diaper_status FROM events",
-        "diaper_status3": f"SELECT event_id, {_HUMIDITY} AS humidity, "
-                          f"{_LEVEL3.format('(' + _HUMIDITY + ')')} AS diaper_status FROM events",
-        "hex_button": f"SELECT event_id, {_HEX} AS button_text, "
-                      "CASE WHEN event_id % 5 = 0 THEN 0 ELSE event_id END AS button FROM events",
+        "button_status": typed + f"""SELECT msg_id, button, {_BUTTON.format('button')} AS button_status FROM typed
+            WHERE message_type = 'DIAPER'""",
+        "diaper_status5": typed + f"""SELECT msg_id, humidity, {_LEVEL5.format('humidity')} AS diaper_status FROM typed
+            WHERE message_type = 'DIAPER'""",
+        "diaper_status3": typed + f"""SELECT msg_id, humidity, {_LEVEL3.format('humidity')} AS diaper_status FROM typed
+            WHERE message_type = 'DIAPER'""",
+        "hex_button": typed + """SELECT msg_id, t AS button_text, CASE WHEN t LIKE 'MAC%' THEN 0 WHEN t LIKE '0x%' THEN
+            CAST(t AS BIGINT) ELSE CAST('0x' || t AS BIGINT) END AS button FROM (SELECT msg_id, coalesce(
+              j->>'$.data.button_status', j->>'$.button', j->>'$.hr', j->>'$.MAC') AS t FROM doc)""",
         "validate_vitals": typed + """SELECT msg_id, route <> 'invalid' AS is_valid FROM typed
             WHERE message_type = 'VITAL_SIGN'""",
         "validate_diaper": typed + """SELECT msg_id, route <> 'invalid' AS is_valid FROM typed
             WHERE message_type = 'DIAPER'""",
-        "mac_length": f"SELECT event_id, {_MAC_EVENT} AS mac, length({_MAC_EVENT}) >= 6 AS is_valid FROM events",
+        "mac_length": typed + """SELECT msg_id, replace(mac, '0', '') AS mac, length(replace(mac, '0', '')) >= 6 AS is_valid
+            FROM typed WHERE mac IS NOT NULL""",
         "reject_reasons": typed + "SELECT msg_id, reasons FROM typed WHERE route = 'invalid'",
         "dedup_windows": typed + f"""SELECT {_SHORT},
             time_bucket(INTERVAL '5 seconds', "timestamp") AS window_start FROM valid""",
