@@ -2,7 +2,8 @@
 
 A single space or newline between two other characters always begins a pre-token, so a
 text falls apart there and equal chunks need one look. Texts with other white space at
-such places, and chunks beyond Latin letters, are left to the library as a whole.
+such places are cut by the pattern as a whole; chunks that hold a code point on whose class
+libraries may differ are not cut at all.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import gc
 import io
 import os
 import re
+import unicodedata
 import uuid
 import zlib
 
@@ -26,6 +28,7 @@ from pulseloom.llm import common
 from pulseloom.llm.common import kept
 
 BATCH_CHARS = 8 << 20
+BUCKET_WORDS = 200_000
 START = "\0"  # marks a chunk that begins a text: no space belongs to it
 
 
@@ -243,7 +246,7 @@ class Encoder:
 class Batch:
     """Documents as sequences of numbers of their distinct words."""
 
-    _LATIN = re.compile("[\x00-ɏ‐-‧€]*")
+    _LATIN = re.compile("[\x00-ɏ‐-‧€]*")  # the quick answer of ``_agreed``
 
     def __init__(self, texts: list[str], specials: tuple[str, ...] = ()):
         import public_tokenizers
@@ -277,8 +280,13 @@ class Batch:
     def _words(self, text: str) -> list[str]:
         if self._special is not None and (parts := self._special.split(text))[1:]:
             return [w for i, part in enumerate(parts) for w in ([part] if i % 2 else self._words(part))]
-        # letters whose class may differ between libraries: not cut here
-        return self._find(text) if self._LATIN.fullmatch(text) else [text] if text else []
+        return self._find(text) if self._agreed(text) else [text]
+
+    def _agreed(self, text: str) -> bool:
+        """Whether all libraries class every code point alike: all but those that Python's
+        tables leave unassigned, which newer tables may have filled, do."""
+        return bool(self._LATIN.fullmatch(text)) or not any(
+            unicodedata.category(c) in ("Cn", "Cs") for c in set(text))
 
 
 def pack(**arrays) -> bytes:
@@ -302,6 +310,17 @@ def nullable(side: dict) -> pd.arrays.IntegerArray:
     return pd.arrays.IntegerArray(side["doc"].copy(), side["null"].copy())
 
 
+def _buckets(docs: DataFrame) -> int:
+    """As many word buckets as keep one near ``BUCKET_WORDS`` distinct words, from all texts.
+
+    What stands between white space is counted, by a mergeable sketch that never leaves the
+    scan; pre-tokens are at most a few times as many.
+    """
+    parts = common.texts(docs).select(F.explode(F.split("text", "[ \n]")).alias("part"))
+    distinct = parts.agg(F.approx_count_distinct("part", 0.1)).first()[0]
+    return max(common.partitions(docs.sparkSession), -(-distinct // BUCKET_WORDS))
+
+
 BLOCKS = "bucket int, batch string, path string, words binary"
 
 
@@ -312,7 +331,7 @@ def distinct_words(docs: DataFrame, folder: str, keep, specials: tuple[str, ...]
     The exploded (batch, word) rows are packed by word bucket: one row per batch and
     non-empty bucket, never more rows than distinct words of batches.
     """
-    buckets = common.partitions(docs.sparkSession)
+    buckets = _buckets(docs)
 
     def cut(frames):
         common.alone("words")
