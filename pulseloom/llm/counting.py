@@ -50,4 +50,5 @@ def count(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json",
 
 
 def report(docs: DataFrame, limit: int = 512) -> DataFrame:
+    """``count`` and whether a document has more than ``limit`` tokens; a null or empty text has not."""
     return count(docs).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -138,7 +138,7 @@ def report(docs: DataFrame) -> DataFrame:
     """Spans of every document, one row per input row.
 
     A null or empty text has no spans and the digest of the empty string. Ids may be null
-    or repeat; each row stands for itself. Other columns are ignored.
+    or repeat; each row stands for itself. Other columns are ignored; an empty table gives no rows.
     """
     scanned = scan(docs)
     by_text = linked(scanned).groupBy("text_key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
