@@ -8,6 +8,7 @@ one micro-batch span.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -22,6 +23,8 @@ from pulseloom.operators import dedup
 # Python workers need not have this package installed: the processor travels with the query.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+BUCKETS = 1024  # groups that keys are dealt into; fixed for the life of a checkpoint
+
 
 def tumbling(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "timestamp",
              order: str = "msg_id", seconds: int = dedup.SECONDS,
@@ -51,30 +54,41 @@ def tumbling(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "
 
 
 class _Throttle(StatefulProcessor):
-    """Last pass of a key; forgotten once it cannot suppress anything."""
+    """Last passes of the keys of a bucket; one is forgotten once it cannot suppress anything."""
 
-    COLUMNS = ("tick", "micros", "place", "record")
+    COLUMNS = ("key", "tick", "micros", "place", "record")
 
     def __init__(self, millis: int, keep: int):
         self.millis, self.keep = millis, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "tick bigint")
+        self.marks = handle.getListState("marks", "key string, tick bigint")
 
     def _first(self, parts: list[pd.DataFrame]) -> pd.DataFrame:
-        """Of rows in the same millisecond only the first can pass."""
-        rows = pd.concat(parts).sort_values(["tick", "micros", "place"], kind="stable")
-        return rows.drop_duplicates("tick")
+        """Of rows of a key in the same millisecond only the first can pass."""
+        rows = pd.concat(parts).sort_values(["key", "tick", "micros", "place"], kind="stable")
+        return rows.drop_duplicates(["key", "tick"])
+
+    def _passes(self, held: pd.DataFrame) -> list[int]:
+        """Places of the rows that pass, from pass to pass; the rows between them are not looked at."""
+        keys, ticks, passes = held["key"].to_numpy(), held["tick"].tolist(), []
+        begins = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(ticks)]
+        for at, end in zip(begins, begins[1:]):
+            while at < end:
+                passes.append(at)
+                at = bisect_left(ticks, ticks[at] + self.millis, at + 1, end)
+        return passes
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = self.last.get()
-        before = state[0] if state is not None else None
+        marks = dict(self.marks.get())
+        before = max(marks.values(), default=None)
         parts, size, least = [], 0, 0
         for frame in rows:
             part = frame[list(self.COLUMNS)]
-            if before is not None:
-                part = part[part["tick"] >= before + self.millis]
+            if marks:
+                last = part["key"].map(marks)  # no mark: NaN, which nothing is less than
+                part = part[~(part["tick"] < last + self.millis)]
             parts.append(part)
             size += len(part)
             if size > 2 * least + 20_000:
@@ -83,22 +97,21 @@ class _Throttle(StatefulProcessor):
         if not size:
             return
         held = self._first(parts)
-        ticks, passes, at = held["tick"].to_numpy(), [], 0
-        while at < len(ticks):  # from pass to pass; the rows between them are not looked at
-            passes.append(at)
-            at = int(np.searchsorted(ticks, ticks[at] + self.millis))
-        last = int(ticks[passes[-1]])
-        self.last.update((last,))
-        if before is not None:
-            self.handle.deleteTimer(before + self.keep)
-        self.handle.registerTimer(last + self.keep)
-        yield pd.DataFrame({"record": held["record"].to_numpy()[passes]})
+        passed = held.iloc[self._passes(held)]
+        marks.update(zip(passed["key"].tolist(), passed["tick"].tolist()))
+        watermark = timerValues.getCurrentWatermarkInMs()
+        self.marks.put([(k, t) for k, t in marks.items() if t + self.keep > watermark])
+        last = max(marks.values())
+        if last != before:
+            if before is not None:
+                self.handle.deleteTimer(before + self.keep)
+            self.handle.registerTimer(last + self.keep)
+        yield passed[["record"]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        state = self.last.get()
         # a later pass has armed its own timer
-        if state is not None and state[0] + self.keep <= expiredTimerInfo.getExpiryTimeInMs():
-            self.last.clear()
+        if all(tick + self.keep <= expiredTimerInfo.getExpiryTimeInMs() for _, tick in self.marks.get()):
+            self.marks.clear()
         return iter(())
 
     def close(self) -> None:
@@ -107,17 +120,21 @@ class _Throttle(StatefulProcessor):
 
 def throttle(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "timestamp",
              order: str = "msg_id", seconds: int = dedup.SECONDS,
-             watermark: str = "10 seconds", expire_after: int | None = None) -> DataFrame:
+             watermark: str = "10 seconds", expire_after: int | None = None,
+             buckets: int = BUCKETS) -> DataFrame:
     """Rows at least ``seconds`` after the last pass of their key, sent at once.
 
     ``expire_after`` seconds after its last pass a key is forgotten. It only frees state,
     so the default is the earliest time that changes nothing: ``seconds``.
 
     Spark has no built-in operator for this rule, so it is a ``transformWithState`` processor.
-    It takes a key's rows of a micro-batch in Arrow frames, keeps one row a millisecond of
-    those that the last pass does not rule out, and then goes from pass to pass, so no Python
-    code runs per row. What a task holds of a key is bounded by the milliseconds that the
-    key's rows of one batch span. Rows cross to Python as one JSON text each.
+    Almost every reading is a key of its own, and a call of the processor costs milliseconds:
+    it is called for one of ``buckets`` groups of keys instead. It takes the group's rows of a
+    micro-batch in Arrow frames, keeps one row a key and millisecond of those that the last
+    passes do not rule out, and then goes from pass to pass. What a task holds is that of one
+    group: of a hot key one row for each millisecond that its rows of one batch span, and the
+    marks of keys that have passed lately, which a batch writes anew for the groups it names.
+    Rows cross to Python as one JSON text each.
     """
     keys = list(keys or dedup.key_columns(stream))
     times = [f.name for f in stream.schema.fields if f.dataType.typeName() == "timestamp"]
@@ -126,10 +143,11 @@ def throttle(stream: DataFrame, keys: Sequence[str] | None = None, time: str = "
     # one text as the key: pandas would turn nulls of number columns into NaN, which equals nothing
     zeros = [(F.col(c) + 0.0 if stream.schema[c].dataType.typeName() in ("float", "double") else
               F.unix_micros(c) if c in times else F.col(c)).alias(c) for c in keys]
+    key = F.to_json(F.struct(*zeros))
     timed = stream.withWatermark(time, watermark).select(
-        F.to_json(F.struct(*zeros)).alias("key"), F.col(time).alias("at"), F.unix_millis(time).alias("tick"),
+        F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), key.alias("key"), F.col(time).alias("at"), F.unix_millis(time).alias("tick"),
         F.unix_micros(time).alias("micros"), F.col(order).alias("place"), F.to_json(F.struct(*plain)).alias("record"))
-    passed = timed.groupBy("key").transformWithStateInPandas(
+    passed = timed.groupBy("bucket").transformWithStateInPandas(
         _Throttle(seconds * 1000, max(expire_after or 0, seconds) * 1000), "record string", "Append", "EventTime")
     rows = passed.select(F.from_json("record", shape).alias("r"))
     return rows.select(*[(F.timestamp_micros(F.col("r")[c]) if c in times else F.col("r")[c]).alias(c)

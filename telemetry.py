@@ -89,13 +89,18 @@ def from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(events: DataFrame) -> DataFrame:
+    """Events dealt out by id: one file may be a single split."""
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return events.select("event_id", "ts", "user_id").repartition(parts, "event_id")
+
+
 def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages of the event table, dealt out by id: one file may be a single split."""
-    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id")
-    return from_events(events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id"))
+    """Messages of the event table."""
+    return from_events(_dealt(spark.read.parquet(f"{folder}/events.parquet")))
 
 
 def raw_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same messages as a stream over the event files of a folder."""
     events = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{folder}/events*.parquet")
-    return from_events(events)
+    return from_events(_dealt(events))
