@@ -12,11 +12,11 @@ that no row in time can change that, so any split into batches gives the same vi
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
@@ -27,17 +27,26 @@ from pulseloom.operators import serving
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLACK = 180  # points beyond the cap that a list may hold before it is trimmed
+FRAME = 10_000  # rows of a device that are held before only the newest points are kept
 CELLS = 60  # writes of a device are combined within this share of the lifetime
 
 
-def _newest(points: pd.DataFrame, cap: int) -> pd.DataFrame:
+def _newest(points: Iterable[tuple], cap: int) -> list[tuple]:
     """The newest ``cap`` distinct points; equal records at one time are one, under the highest id."""
-    ordered = points.sort_values(["tick", "msg_id"], ascending=False)
-    return ordered.drop_duplicates("record").head(cap)
+    found: dict[str, tuple] = {}
+    for point in sorted(points, reverse=True):
+        found.setdefault(point[-1], point)
+        if len(found) == cap:
+            break
+    return list(found.values())
 
 
 class _Series(StatefulProcessor):
-    """Newest points of a device. The list is appended to and trimmed now and then."""
+    """Newest points of a device. The list is appended to and trimmed now and then.
+
+    Most devices have few rows in a batch, so rows come as they are: a frame for each device
+    would cost more than all else.
+    """
 
     SHAPE = "tick bigint, msg_id bigint, clock bigint, record string"
     COLUMNS = ("tick", "msg_id", "clock", "record")
@@ -50,25 +59,25 @@ class _Series(StatefulProcessor):
         self.points = handle.getListState("points", self.SHAPE)
         self.about = handle.getValueState("about", "held int, last bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new, last = None, None
-        for frame in rows:  # never more than one frame beside the newest points
-            part = frame[list(self.COLUMNS)]
-            new = _newest(part if new is None else pd.concat([new, part]), self.cap)
-            newest = int(part["clock"].max())
-            last = newest if last is None else max(last, newest)
-        if new is None:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        new, last = [], None
+        for row in rows:
+            new.append(tuple(row[c] for c in self.COLUMNS))
+            last = row["clock"] if last is None else max(last, row["clock"])
+            if len(new) >= self.cap + FRAME:  # never more than so many beside the newest points
+                new = _newest(new, self.cap)
+        if last is None:
             return
+        new = _newest(new, self.cap)
         state = self.about.get()
         held, before = state if state is not None else (0, None)
         last = last if before is None else max(last, before)
         if held + len(new) > self.cap + self.slack:
-            old = pd.DataFrame([tuple(p) for p in self.points.get()], columns=list(self.COLUMNS))
-            new = _newest(pd.concat([old, new]), self.cap)
-            self.points.put(self._tuples(new))
+            new = _newest([*map(tuple, self.points.get()), *new], self.cap)
+            self.points.put(new)
             held = len(new)
         else:
-            self.points.appendList(self._tuples(new))
+            self.points.appendList(new)
             held += len(new)
         self.about.update((held, last))
         if last != before:
@@ -77,19 +86,15 @@ class _Series(StatefulProcessor):
             self.handle.registerTimer(last + self.ttl)
         yield self._told(key, held, last)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         state = self.about.get()
         if state is not None and state[1] + self.ttl <= expiredTimerInfo.getExpiryTimeInMs():
             self.points.clear()
             self.about.clear()
             yield self._told(key, 0, state[1])
 
-    @staticmethod
-    def _tuples(points: pd.DataFrame) -> list[tuple]:
-        return [(int(t), int(m), int(c), r) for t, m, c, r in points.itertuples(index=False)]
-
-    def _told(self, key, held: int, last: int) -> pd.DataFrame:
-        return pd.DataFrame({**{c: [k] for c, k in zip(self.entry, key)}, "held": [held], "last_ms": [last]})
+    def _told(self, key, held: int, last: int) -> Row:
+        return Row(**dict(zip(self.entry, key)), held=held, last_ms=last)
 
     def close(self) -> None:
         pass
@@ -120,7 +125,7 @@ def series(records: DataFrame, cap: int = serving.CAP, ttl: int = serving.TTL, t
         F.to_json(F.struct(*same)).alias("record"))
     rows = rows.withColumnRenamed(clock, "_at").withColumnRenamed("_clock", "clock")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in records.select(*entry).schema.fields)
-    return rows.groupBy(*entry).transformWithStateInPandas(
+    return rows.groupBy(*entry).transformWithState(
         _Series(entry, cap, ttl * 1000, slack), f"{kinds}, held int, last_ms bigint", "Update", "EventTime")
 
 
@@ -167,7 +172,7 @@ class _Gateway(StatefulProcessor):
         if not spans:
             return
         for device, hi in seen.items():
-            held = self.members.getValue((device,)) if self.members.containsKey((device,)) else None
+            held = self.members.getValue((device,))
             if held is None or held[0] < hi:
                 self.members.updateValue((device,), (hi,))
         # an earlier island is over once no row in time can reach back to it

@@ -16,6 +16,7 @@ from pulseloom.streaming import clocks, dedup, hot, late, pipeline
 
 SLICES = 4
 DISORDER = 3500  # seconds that a message of the sliced files may be out of place
+FILE_ROWS = 100_000  # messages of a file of a slice, or fewer
 
 
 def _run_folder(spark: SparkSession) -> str:
@@ -23,23 +24,36 @@ def _run_folder(spark: SparkSession) -> str:
 
 
 def sliced(spark: SparkSession, folder: str, out: str) -> str:
-    """The messages as files that arrive one after the other and are out of order.
+    """The messages as slices of files that arrive one after the other and are out of order.
 
-    A message is up to ``DISORDER`` seconds out of place, within a file and between two.
+    A message is up to ``DISORDER`` seconds out of place, within a slice and between two. All
+    slices have equally many files, more of them for more messages, so that neither writing nor
+    parsing a slice is the work of one task.
     """
     messages = f"{out}/messages"
     place = F.unix_seconds("received_ts") + F.col("msg_id") * 7919 % DISORDER
     rows = telemetry.raw_messages(spark, folder).withColumn("_place", place)
-    low, high = rows.agg(F.min("_place"), F.max("_place")).first()
+    low, high, count = rows.agg(F.min("_place"), F.max("_place"), F.count("*")).first()
     if low is None:
         low = high = 0
+    files = max(1, min(count // (SLICES * FILE_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     for n in range(SLICES):
         begin, end = (low + (high + 1 - low) * i // SLICES for i in (n, n + 1))
         part = rows.filter((F.col("_place") >= begin) & (F.col("_place") < end)).drop("_place")
-        part.coalesce(1).write.mode("append").parquet(messages)
+        part.coalesce(files).write.mode("append").parquet(messages)
+        # tasks without a message write no file: empty ones stand in, or slices would shift
+        for _ in range((n + 1) * files - len(spark.read.parquet(messages).inputFiles())):
+            part.limit(0).coalesce(1).write.mode("append").parquet(messages)
     return messages
 
 
+def _arriving(spark: SparkSession, folder: str, out: str) -> DataFrame:
+    """The sliced messages as a stream whose micro-batches are the slices."""
+    messages = sliced(spark, folder, out)
+    files = len(spark.read.parquet(messages).inputFiles()) // SLICES
+    return raw.read_raw(spark, messages, streaming=True, maxFilesPerTrigger=str(files))
+
+
 def _valid(stream: DataFrame) -> DataFrame:
     return parse.typed(stream).filter(F.col("route") != parse.INVALID).drop("payload", "reasons", "route")
 
@@ -64,8 +78,7 @@ def tumbled(spark: SparkSession, folder: str) -> DataFrame:
     its checkpoint to close the windows that are still open.
     """
     out = _run_folder(spark)
-    stream = raw.read_raw(spark, sliced(spark, folder, out), streaming=True, maxFilesPerTrigger="1")
-    valid = _valid(stream)
+    valid = _valid(_arriving(spark, folder, out))
     unique = dedup.tumbling(valid, watermark=f"{DISORDER} seconds", clock=clocks.ending(spark, f"{out}/ending"))
     _finish(unique, out)
     clocks.end(spark, f"{out}/ending")
@@ -74,7 +87,7 @@ def tumbled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, folder: str, out: str) -> DataFrame:
-    return _valid(raw.read_raw(spark, sliced(spark, folder, out), streaming=True, maxFilesPerTrigger="1"))
+    return _valid(_arriving(spark, folder, out))
 
 
 def keyed_series(spark: SparkSession, folder: str, cap: int, ttl: int, as_of) -> DataFrame:
@@ -112,8 +125,7 @@ def pipeline_counts(spark: SparkSession, folder: str, profile: str = "typed") ->
 def late_windows(spark: SparkSession, folder: str, lateness: int, window: str) -> DataFrame:
     """Late rows by window after the pipeline has read files out of order."""
     out = _run_folder(spark)
-    stream = raw.read_raw(spark, sliced(spark, folder, out), streaming=True, maxFilesPerTrigger="1")
-    pipeline.run(stream, f"{out}/tables", f"{out}/checkpoint", trigger={"availableNow": True}, method=None,
+    pipeline.run(_arriving(spark, folder, out), f"{out}/tables", f"{out}/checkpoint", trigger={"availableNow": True}, method=None,
                  lateness=lateness, views=()).awaitTermination()
     return late.per_window(spark, f"{out}/tables", window)
 

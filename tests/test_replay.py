@@ -13,6 +13,37 @@ from pulseloom.operators import dedup, parse, serving
 from pulseloom.streaming import dedup as stream_dedup, hot
 
 
+def test_slices_of_many_files(spark, tmp_path, monkeypatch):
+    """Many files a slice; each slice is one micro-batch, also where a slice fills fewer files."""
+    monkeypatch.setattr(replay, "FILE_ROWS", 100)
+    made = sorted(glob.glob(f"{replay.sliced(spark, SMALL, str(tmp_path))}/*.parquet"), key=os.path.getmtime)
+    size = len(made) // replay.SLICES
+    assert size > 1 and len(made) == size * replay.SLICES
+    ends = [spark.read.parquet(*made[n * size:(n + 1) * size]).agg(F.min("received_ts"), F.max("received_ts")).first()
+            for n in range(replay.SLICES)]
+    assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(ends, ends[1:]))
+    sparse = str(tmp_path / "sparse")
+    events = spark.createDataFrame([(n, dt.datetime(2024, 1, 1 + n // 1000), 1, "view", 1.0, "{}") for n in range(1003)],
+                                   telemetry.EVENTS_SCHEMA)
+    events.coalesce(1).write.parquet(f"{sparse}/events.parquet")
+    made = sorted(glob.glob(f"{replay.sliced(spark, sparse, str(tmp_path / 'out'))}/*.parquet"), key=os.path.getmtime)
+    size = len(made) // replay.SLICES
+    counts = [spark.read.parquet(*made[n * size:(n + 1) * size]).count() for n in range(replay.SLICES)]
+    assert size > 1 and len(made) == size * replay.SLICES
+    assert sum(counts) == telemetry.raw_messages(spark, sparse).count() and counts[1] == 0 < counts[3] < 10
+
+
+def test_queries_over_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(replay, "FILE_ROWS", 100)
+    records = parse.typed(telemetry.raw_messages(spark, SMALL)).filter("route != 'invalid'").drop("payload", "reasons", "route")
+    got = replay.tumbled(spark, SMALL).select("msg_id").collect()
+    assert sorted(r.msg_id for r in got) == sorted(r.msg_id for r in dedup.tumbling(records).select("msg_id").collect())
+    now = telemetry.raw_messages(spark, SMALL).agg(F.max("received_ts")).first()[0]
+    got = replay.keyed_series(spark, SMALL, 5, 10**6, now).select("msg_id").collect()
+    expected = serving.series(records, 5, 10**6, now).select("msg_id").collect()
+    assert sorted(r.msg_id for r in got) == sorted(r.msg_id for r in expected) != []
+
+
 def test_stream_is_dealt_out(spark):
     """One event file is one split: without an exchange one task would parse the whole stream."""
     plan = telemetry.raw_stream(spark, SMALL)._jdf.queryExecution().analyzed().toString()
@@ -42,3 +73,21 @@ def test_throttle_state_is_kept_by_bucket(spark, tmp_path):
     assert marks.select("key").distinct().count() == 8
     held = marks.select(F.get_json_object("list_element.key", "$.k").alias("k"), "list_element.tick").collect()
     assert len(held) == len(last) and {r.k: r.tick for r in held} == last
+
+
+def test_series_of_many_points_in_one_batch(spark, tmp_path, monkeypatch):
+    """Of a device's flood only the newest points are held; repeats and order do not matter."""
+    monkeypatch.setattr(hot, "FRAME", 50)
+    schema = "msg_id bigint, message_type string, device_id string, heart_rate int, timestamp timestamp"
+    i = F.col("id")
+    spark.range(5000).select(
+        i.alias("msg_id"), F.lit("VITAL_SIGN").alias("message_type"), F.concat(F.lit("d"), i % 3).alias("device_id"),
+        (i % 2).cast("int").alias("heart_rate"), F.timestamp_seconds(1_700_000_000 + i * 7919 % 1000).alias("timestamp"),
+    ).write.parquet(str(tmp_path / "in"))
+    records = spark.read.parquet(str(tmp_path / "in"))
+    hot.start(hot.series(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), cap=20, ttl=10**6),
+              str(tmp_path / "state"), trigger={"availableNow": True}).awaitTermination()
+    view = hot.series_view(spark, str(tmp_path / "state"), records, 20, 10**6)
+    columns = ["device_id", "position", "msg_id", "heart_rate", "timestamp"]
+    assert sorted(map(tuple, view.select(columns).collect())) == sorted(
+        map(tuple, serving.series(records, 20, 10**6).select(columns).collect()))
