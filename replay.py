@@ -17,6 +17,7 @@ from pulseloom.streaming import clocks, dedup, hot, late, pipeline
 SLICES = 4
 DISORDER = 3500  # seconds that a message of the sliced files may be out of place
 FILE_ROWS = 100_000  # messages of a file of a slice, or fewer
+BATCHES = 3
 
 
 def _run_folder(spark: SparkSession) -> str:
@@ -130,16 +131,25 @@ def late_windows(spark: SparkSession, folder: str, lateness: int, window: str) -
     return late.per_window(spark, f"{out}/tables", window)
 
 
+def _batches(spark: SparkSession, folder: str, out: str) -> list[DataFrame]:
+    """Valid records in three batches. They are parsed once; each table of a batch is read alone."""
+    parsed = parse.typed(telemetry.raw_messages(spark, folder)).filter(F.col("route") != parse.INVALID)
+    parsed = parsed.drop("payload", "reasons").withColumn("_batch", F.pmod("msg_id", F.lit(BATCHES)))
+    parsed.write.partitionBy("_batch", "route").parquet(f"{out}/parsed")
+    rows = spark.read.schema(parsed.schema).parquet(f"{out}/parsed")
+    return [rows.filter(F.col("_batch") == n).drop("_batch") for n in range(BATCHES)]
+
+
 def checked(spark: SparkSession, folder: str) -> DataFrame:
     """Checks of a growing table: after its first batch, after two more of which one check
     failed before it was done, after a compaction, and after a repeated batch."""
     out = _run_folder(spark)
     root, mark, found = f"{out}/tables", f"{out}/mark", []
     path = f"{root}/diaper_status"
-    parsed = parse.typed(telemetry.raw_messages(spark, folder)).filter(F.col("route") != parse.INVALID)
+    batches = _batches(spark, folder, out)
 
     def add(batch: int) -> None:
-        sinks.write_history(parsed.filter(F.pmod("msg_id", F.lit(3)) == batch), root, batch)
+        sinks.write_history(batches[batch], root, batch)
 
     def check(finish: bool = True) -> None:
         seen = checks.since_last(spark, path, mark)
@@ -167,11 +177,10 @@ def stored(spark: SparkSession, folder: str) -> str:
     """Root of history tables written in three batches and then compacted, once a session."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _STORES:
-        root = f"{_run_folder(spark)}/tables"
-        parsed = parse.typed(telemetry.raw_messages(spark, folder)).filter(F.col("route") != parse.INVALID)
-        parsed = parsed.drop("payload", "reasons")
-        for batch in range(3):
-            sinks.write_history(parsed.filter(F.pmod("msg_id", F.lit(3)) == batch), root, batch)
+        out = _run_folder(spark)
+        root = f"{out}/tables"
+        for number, batch in enumerate(_batches(spark, folder, out)):
+            sinks.write_history(batch, root, number)
         for kind in sinks.TABLE_COLUMNS["typed"]:
             live.compact(spark, f"{root}/{kind.table}")
             live.vacuum(spark, f"{root}/{kind.table}")

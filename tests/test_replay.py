@@ -91,3 +91,13 @@ def test_series_of_many_points_in_one_batch(spark, tmp_path, monkeypatch):
     columns = ["device_id", "position", "msg_id", "heart_rate", "timestamp"]
     assert sorted(map(tuple, view.select(columns).collect())) == sorted(
         map(tuple, serving.series(records, 20, 10**6).select(columns).collect()))
+
+
+def test_batches_are_parsed_once(spark, tmp_path):
+    """Each table of a batch reads its own files of one parsed copy, and together they are everything."""
+    batches = replay._batches(spark, SMALL, str(tmp_path))
+    plans = [b.filter("route = 'vital_signs'")._jdf.queryExecution().executedPlan().toString() for b in batches]
+    assert len(plans) == replay.BATCHES and all("PartitionFilters: [isnotnull(_batch" in p and "from_json" not in p for p in plans)
+    records = parse.typed(telemetry.raw_messages(spark, SMALL)).filter("route != 'invalid'")
+    assert sorted(r.msg_id for b in batches for r in b.select("msg_id").collect()) == sorted(
+        r.msg_id for r in records.select("msg_id").collect())
