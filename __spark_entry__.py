@@ -473,8 +473,9 @@ def live_devices(spark, folder):
 def tiered_range(spark, folder):
     now = _now(spark, folder)
     start = now - F.expr("INTERVAL 5 DAYS")
-    hot = serving.series(_vitals(spark, folder), oracles.TIER_CAP, ttl=10 * HALF_DAY, as_of=now)
-    rows = lookups.tiered_range(hot, _vitals(spark, folder), start, now, HALF_DAY, cap=oracles.TIER_CAP)
+    vitals = replay.staged(spark, _vitals(spark, folder))
+    hot = serving.series(vitals, oracles.TIER_CAP, ttl=10 * HALF_DAY, as_of=now)
+    rows = lookups.tiered_range(hot, vitals, start, now, HALF_DAY, cap=oracles.TIER_CAP)
     return rows.select("msg_id", "device_id", "heart_rate", "timestamp", "tier")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pulseloom.operators import serving
 from pulseloom.operators.dedup import first_by
@@ -51,16 +51,16 @@ def tiered_range(series: DataFrame, history: DataFrame, start, as_of, ttl: int =
     """
     cut = F.lit(as_of) - F.make_dt_interval(secs=F.lit(ttl))
     columns = [c for c in history.columns if c in series.columns]
-    full = series.groupBy(*serving.ENTRY).agg(F.count("*").alias("_n"), F.min(time).alias("_oldest")).filter(
-        F.col("_n") >= cap).drop("_n")
+    by, known = Window.partitionBy(*serving.ENTRY), F.lit(True)
+    for key in serving.ENTRY:  # a null one finds no history to answer for it
+        known = known & F.col(key).isNotNull()
+    held = series.withColumn("_oldest", F.when(known & (F.count("*").over(by) >= cap), F.min(time).over(by)))
     after = F.coalesce(F.col(time) > F.col("_oldest"), F.lit(True))
-    hot = series.filter((F.col(time) >= cut) & (F.col(time) >= F.lit(start))).join(
-        full, list(serving.ENTRY), "left").filter(after)
-    # what lies behind the cut needs no look at the series
-    behind = prune(history, start, cut, time)
-    trimmed = prune(history, cut, None, time).filter(F.col(time) >= F.lit(start)).join(full, list(serving.ENTRY)).filter(
-        F.col(time) <= F.col("_oldest")).select(history.columns)
-    cold = behind.unionByName(trimmed)
+    hot = held.filter((F.col(time) >= cut) & (F.col(time) >= F.lit(start))).filter(after)
+    full = held.filter(F.col("_oldest").isNotNull()).groupBy(*serving.ENTRY).agg(F.min("_oldest").alias("_oldest"))
+    # one read of the history: what lies behind the cut, and what a full series has lost
+    lost = (F.col(time) < cut) | F.coalesce(F.col(time) <= F.col("_oldest"), F.lit(False))
+    cold = prune(history, start, None, time).join(full, list(serving.ENTRY), "left").filter(lost).select(history.columns)
     cold = first_by(cold, serving.record_columns(cold), F.desc("msg_id"))
     return hot.select(*columns, F.lit("hot").alias("tier")).unionByName(
         cold.select(*columns, F.lit("history").alias("tier")))

@@ -170,6 +170,13 @@ def checked(spark: SparkSession, folder: str) -> DataFrame:
     return checks.as_rows(spark, found)
 
 
+def staged(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows written once, for a plan that reads them several times."""
+    path = f"{_run_folder(spark)}/rows"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 _STORES: dict[tuple[str, str], str] = {}
 
 

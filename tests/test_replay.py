@@ -10,6 +10,7 @@ import replay
 import telemetry
 from conftest import SMALL
 from pulseloom.operators import dedup, parse, serving
+from pulseloom.plans import lookups
 from pulseloom.streaming import dedup as stream_dedup, hot
 
 
@@ -101,3 +102,30 @@ def test_batches_are_parsed_once(spark, tmp_path):
     records = parse.typed(telemetry.raw_messages(spark, SMALL)).filter("route != 'invalid'")
     assert sorted(r.msg_id for b in batches for r in b.select("msg_id").collect()) == sorted(
         r.msg_id for r in records.select("msg_id").collect())
+
+
+def test_tiered_range_reads_history_once(spark, tmp_path):
+    """What a full series has lost comes from the one read; rows without a device stay in one tier each."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(n, "VITAL_SIGN", ("a", "b", None)[n % 3], 60 + n, start + dt.timedelta(minutes=n * (1 if n % 3 else 7)))
+            for n in range(60)]
+    spark.createDataFrame(rows, "msg_id bigint, message_type string, device_id string, heart_rate int, timestamp timestamp"
+                          ).write.parquet(str(tmp_path / "h"))
+    history = spark.read.parquet(str(tmp_path / "h"))
+    now = start + dt.timedelta(minutes=60)
+    hot_rows = serving.series(spark.createDataFrame(history.collect(), history.schema), 4, as_of=now)
+    got = lookups.tiered_range(hot_rows, history, start + dt.timedelta(minutes=10), now, 1800, cap=4)
+    tiers = {r.msg_id: r.tier for r in got.select("msg_id", "tier").collect()}
+    expected = {}
+    for device in ("a", "b", None):
+        points = sorted((r for r in rows if r[2] == device), key=lambda r: r[4])
+        for r in points:
+            if r[4] >= start + dt.timedelta(minutes=10):
+                if r[4] < start + dt.timedelta(minutes=30):
+                    expected[r[0]] = "history"
+                elif device is not None and r[4] <= points[-4][4]:
+                    expected[r[0]] = "history"  # a full series answers after its oldest point only
+                elif r in points[-4:]:
+                    expected[r[0]] = "hot"
+    assert tiers == expected and got.count() == len(expected)
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
