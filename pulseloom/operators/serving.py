@@ -149,15 +149,16 @@ def gateway_index(records: DataFrame, as_of=None, ttl: int = TTL, time: str = "t
 
     A device stays while any sibling keeps the gateway's set alive.
     """
-    # both sides start from one aggregation, whose exchange is shared
+    # both sides start from one aggregation, whose exchange is shared as long as they need the same columns of it
     pieces = spans(records, "gateway_id", "device_id", ttl=ttl, time=time)
     merged = pieces.groupBy("gateway_id", "cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     islands = last_island(merged, "gateway_id", ttl)
     if as_of is not None:
         islands = islands.filter(alive("last_write", as_of, ttl))
-    members = pieces.groupBy("gateway_id", "device_id").agg(F.max("hi").alias("last_seen"))
+    members = pieces.groupBy("gateway_id", "device_id").agg(
+        F.min("lo").alias("first_seen"), F.max("hi").alias("last_seen"))
     return members.join(islands, "gateway_id").filter(
-        F.col("last_seen") >= F.col("island_start")).select(
+        (F.col("last_seen") >= F.col("island_start")) & (F.col("first_seen") <= F.col("last_write"))).select(
         "gateway_id", "device_id", "last_seen", "island_start", "last_write")
 
 

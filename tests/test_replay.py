@@ -129,3 +129,12 @@ def test_tiered_range_reads_history_once(spark, tmp_path):
                     expected[r[0]] = "hot"
     assert tiers == expected and got.count() == len(expected)
     assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
+def test_gateway_sets_parse_once(spark):
+    """Members and lifetimes of gateways come from one aggregation: its exchange is reused."""
+    records = parse.typed(telemetry.raw_messages(spark, SMALL)).filter("route != 'invalid'")
+    sets = serving.gateway_sets(serving.gateway_index(records, ttl=3 * 3600))
+    assert len(sets.collect()) == 10
+    final = sets._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("explode(array(cast(from_json") == 1 and "ReusedExchange" in final
