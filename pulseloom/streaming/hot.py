@@ -28,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLACK = 180  # points beyond the cap that a list may hold before it is trimmed
 FRAME = 10_000  # rows of a device that are held before only the newest points are kept
+ASKED = 500  # members of a gateway that a batch asks the state for one by one
 CELLS = 60  # writes of a device are combined within this share of the lifetime
 
 
@@ -171,9 +172,9 @@ class _Gateway(StatefulProcessor):
                 seen[device] = max(int(hi), seen.get(device, 0))
         if not spans:
             return
+        held = self._held(seen)
         for device, hi in seen.items():
-            held = self.members.getValue((device,))
-            if held is None or held[0] < hi:
+            if device not in held or held[device] < hi:
                 self.members.updateValue((device,), (hi,))
         # an earlier island is over once no row in time can reach back to it
         watermark = timerValues.getCurrentWatermarkInMs()
@@ -191,6 +192,18 @@ class _Gateway(StatefulProcessor):
             self.handle.registerTimer(self._end(last))
         yield pd.DataFrame({"gateway_id": [key[0]], "changed": [len(seen)], "last_ms": [last // 1000]})
 
+    def _held(self, seen: Iterable[str]) -> dict[str, int]:
+        """Last writes of these members that the state knows.
+
+        Every member asked for is a call to the state; a read of all comes in frames. Members are
+        asked for one by one only as long as they are few.
+        """
+        wanted = set(seen)
+        if len(wanted) <= ASKED:
+            found = {device: self.members.getValue((device,)) for device in wanted}
+            return {device: value[0] for device, value in found.items() if value is not None}
+        return {key[0]: value[0] for key, value in self.members.iterator() if key[0] in wanted}
+
     def _end(self, hi: int) -> int:
         return hi // 1000 + self.ttl + self.cell
 
